@@ -158,8 +158,8 @@ def label_types(
 ) -> DataFrame:
     """A type dimension: each type labelled by the strategy, out-of-scope types left unlabelled.
 
-    ``out_of_scope`` holds (sr_type, scope_note). Rows of in-scope types whose labelling failed
-    keep their error columns NULL-labelled, as the caller decides whether to publish them.
+    ``out_of_scope`` holds (sr_type, scope_note). An in-scope type whose labelling failed keeps NULL
+    labels, so it has no threshold until it is labelled.
     """
     scoped = inventory.join(out_of_scope, "sr_type", "left")
     code = F.coalesce("sr_short_code", F.lit(""))
@@ -176,6 +176,8 @@ def label_types(
         F.lit(settings.default_city).alias("city"),
         F.lit("{}").alias("raw_payload"),
     )
+    if strategy != "recorded":
+        options.setdefault("at", at)
     labelled = classify(as_requests, strategy, **options).select(
         F.col("service_name").alias("sr_type"),
         F.col("service_code").alias("sr_short_code"),

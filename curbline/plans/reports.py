@@ -112,7 +112,7 @@ def label_drift(requests: DataFrame, prompt_version: str | None = None) -> DataF
             .alias(f"{t.lower()}_share")
             for t in ("Critical", "High", "Medium", "Low")
         ],
-        F.percentile("urgency_score", 0.5, "n").alias("median_score"),
+        F.percentile("urgency_score", 0.5, F.col("n")).alias("median_score"),
         F.min("urgency_score").alias("min_score"),
     )
     return mix
