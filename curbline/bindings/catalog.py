@@ -16,6 +16,7 @@ from curbline.functions import times, values
 from curbline.operators import alerts, classify, quality, sampling, validate
 from curbline.plans import evaluation, extract, reports, requests
 from curbline.plans.build import build
+from curbline.session import materialise
 from curbline.sinks import pulls as pull_sink
 from curbline.sinks import requests as request_sink
 from curbline.sources import calendar as cal
@@ -201,7 +202,9 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _drift(spark: SparkSession, d: str) -> DataFrame:
-    return validate.drift_tally(_records(spark, d), by=["feed"])
+    feed = inputs.pages(spark, d)
+    return validate.drift_tally(feed.select(F.struct("feed", "page").alias("page"), "value"),
+                                by=["page.feed"])
 
 
 def _rejects(spark: SparkSession, d: str) -> DataFrame:
@@ -343,9 +346,10 @@ def _dq_versions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sources(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The raw tables, landed first as a pipeline would."""
     return {
-        "service_requests": inputs.service_requests(spark, d),
-        "portal_requests": inputs.portal_requests(spark, d),
+        "service_requests": materialise(inputs.service_requests(spark, d), "service-requests"),
+        "portal_requests": materialise(inputs.portal_requests(spark, d), "portal-requests"),
         "portal_pulls": inputs.portal_pulls(spark, d),
         "portal_parent_lookup": inputs.parent_lookup(spark, d),
         "portal_sr_types": inputs.sr_types(spark, d),

@@ -1,7 +1,7 @@
 """Parse, validate and tally drift over feed pages and stream messages.
 
-A text is parsed once into a VARIANT; every field, its presence and its JSON type are then read
-from that value. Rows are never dropped here: each carries a ``reject_reason`` that is NULL when
+A text is parsed once into a VARIANT; an object is opened once as a struct of its members, from which
+every field, its presence and its JSON type are read. Rows are never dropped here: each carries a ``reject_reason`` that is NULL when
 the record is acceptable.
 """
 
@@ -15,39 +15,49 @@ from curbline.config import DEFAULT, TIERS, UNKNOWN, Settings
 from curbline.functions import times
 
 
-class _Record:
-    """Field access on one JSON object held in a VARIANT column."""
+def _opened(rows: DataFrame, variant: str, keys: tuple[str, ...], keep: list[str]) -> DataFrame:
+    """``rows`` with each member's text (``t_<key>``) and JSON type (``k_<key>``).
+
+    A type is NULL for an absent key and VOID for an explicit null; the text is NULL for both and
+    for nested values. The members travel through a one-element explode: filters on later columns
+    would otherwise be pushed down with these expressions copied into each of their uses.
+    """
+    shape = "struct<" + ",".join(f"`{k}`:variant" for k in keys) + ">"
+    opened = rows.select(*keep, F.try_variant_get(variant, "$", shape).alias("_f"))
+    once = F.explode(F.array(F.struct(
+        F.col("_f").isNotNull().alias("is_object"),
+        *[F.col("_f")[k].try_cast("string").alias(f"t_{k}") for k in keys],
+        *[F.schema_of_variant(F.col("_f")[k]).alias(f"k_{k}") for k in keys],
+        times.utc_timestamp(F.col("_f")["requested_datetime"].try_cast("string")).alias("when"),
+    ))).alias("_m")
+    return opened.select(*keep, once).select(*keep, "_m.*")
+
+
+def _kind(key: str) -> Column:
+    return F.col(f"k_{key}")
 
-    def __init__(self, variant: Column) -> None:
-        self.variant = variant
 
-    def member(self, key: str) -> Column:
-        return F.try_variant_get(self.variant, f"$.{key}", "variant")
+def _text(key: str) -> Column:
+    return F.col(f"t_{key}")
 
-    def text(self, key: str) -> Column:
-        return F.try_variant_get(self.variant, f"$.{key}", "string")
 
-    def present(self, key: str) -> Column:
-        """True also for an explicit null."""
-        return self.member(key).isNotNull()
+def _text_or(key: str, default: str) -> Column:
+    """The default stands in for an absent key only."""
+    return F.when(_kind(key).isNull(), F.lit(default)).otherwise(_text(key))
 
-    def kind(self, key: str) -> Column:
-        """JSON type name; VOID for an explicit null, NULL for an absent key."""
-        return F.schema_of_variant(self.member(key))
 
-    def text_or(self, key: str, default: str) -> Column:
-        """The default stands in for an absent key only."""
-        return F.when(self.present(key), self.text(key)).otherwise(F.lit(default))
+def _is(condition: Column) -> Column:
+    """A condition that takes an absent key as false."""
+    return F.coalesce(condition, F.lit(False))
 
-    def not_text(self, key: str) -> Column:
-        return self.present(key) & (self.kind(key) != "STRING")
 
-    def not_scalar(self, key: str) -> Column:
-        """Present, but neither a string nor a number."""
-        kind = self.kind(key)
-        return self.present(key) & (
-            kind.isin("VOID", "BOOLEAN") | kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        )
+def _nested(kind: Column) -> Column:
+    return kind.startswith("OBJECT") | kind.startswith("ARRAY")
+
+
+def _not_scalar(kind: Column) -> Column:
+    """Present, but neither a string nor a number."""
+    return _is(kind.isin("VOID", "BOOLEAN") | _nested(kind))
 
 
 def is_object(variant: Column) -> Column:
@@ -63,16 +73,14 @@ def _bad_number(text: Column) -> Column:
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:
-    """(page, position, record) for every array element; one row with a NULL position and record
-    for a page that is not an array, so that a bad envelope is reported and hides nothing else."""
-    parsed = pages.select("page", F.try_parse_json("value").alias("_page"))
-    is_list = F.coalesce(F.schema_of_variant("_page").startswith("ARRAY"), F.lit(False))
-    elements = F.when(is_list, F.try_variant_get("_page", "$", "array<variant>"))
-    return parsed.select(
+    """(page, position, record, members) for every array element; one row with a NULL position for
+    a page that is not an array, so that a bad envelope is reported and hides nothing else."""
+    elements = pages.select("page", F.from_json("value", "array<variant>").alias("_page")).select(
         "page",
-        is_list.alias("is_list"),
-        F.posexplode_outer(elements).alias("position", "record"),
-    ).filter(~F.col("is_list") | F.col("position").isNotNull())
+        F.col("_page").isNotNull().alias("is_list"),
+        F.posexplode_outer("_page").alias("position", "record"),
+    )
+    return elements.filter(~F.col("is_list") | F.col("position").isNotNull())
 
 
 def feed_records(
@@ -83,42 +91,42 @@ def feed_records(
     ``require_id`` is the polling rule that a blank id is skipped; a bounded backfill only needs
     the key to be present.
     """
-    rec = _Record(F.col("record"))
-    id_text = rec.text_or("service_request_id", "")
-    blank_id = F.trim(id_text) == "" if require_id else ~rec.present("service_request_id")
-    lon_key_present = rec.present("long")
-    lon_text = F.when(lon_key_present, rec.text("long")).otherwise(rec.text("lon"))
-    lon_bad_kind = F.when(lon_key_present, rec.kind("long")).otherwise(rec.kind("lon"))
-    when = times.utc_timestamp(rec.text("requested_datetime"))
+    keys = ("service_request_id", "requested_datetime", "service_name", "service_code", "status",
+            "address", "lat", "long", "lon")
+    rows = _opened(explode_pages(pages), "record", keys, ["page", "position", "is_list", "record"])
+    id_text = _text_or("service_request_id", "")
+    blank_id = F.trim(id_text) == "" if require_id else _kind("service_request_id").isNull()
+    has_long = _kind("long").isNotNull()
+    lon_text = F.when(has_long, _text("long")).otherwise(_text("lon"))
+    lon_kind = F.when(has_long, _kind("long")).otherwise(_kind("lon"))
 
     def bad_coordinate(text: Column, kind: Column) -> Column:
-        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY") | (kind == "BOOLEAN")
-        return F.coalesce(nested, F.lit(False)) | _bad_number(text)
+        return _is(_nested(kind) | (kind == "BOOLEAN")) | _bad_number(text)
 
     reason = (
         F.when(~F.col("is_list"), "unexpected_payload")
-        .when(~is_object(F.col("record")), "record_not_object")
-        .when(F.coalesce(blank_id, F.lit(False)), "missing_id")
-        .when(F.coalesce(rec.not_scalar("service_request_id"), F.lit(False)), "bad_service_request_id")
-        .when(F.coalesce(rec.kind("requested_datetime") != "STRING", F.lit(True)) | when.isNull(),
+        .when(~F.col("is_object"), "record_not_object")
+        .when(_is(blank_id), "missing_id")
+        .when(_not_scalar(_kind("service_request_id")), "bad_service_request_id")
+        .when(F.col("when").isNull() | (_kind("requested_datetime") != "STRING"),
               "bad_requested_datetime")
-        .when(F.coalesce(rec.not_text("service_name"), F.lit(False)), "bad_service_name")
-        .when(F.coalesce(rec.not_scalar("service_code"), F.lit(False)), "bad_service_code")
-        .when(F.coalesce(rec.not_text("status"), F.lit(False)), "bad_status")
-        .when(F.coalesce(rec.not_text("address"), F.lit(False)), "bad_address")
-        .when(bad_coordinate(rec.text("lat"), rec.kind("lat")), "bad_lat")
-        .when(bad_coordinate(lon_text, lon_bad_kind), "bad_lon")
+        .when(_is(_kind("service_name") != "STRING"), "bad_service_name")
+        .when(_not_scalar(_kind("service_code")), "bad_service_code")
+        .when(_is(_kind("status") != "STRING"), "bad_status")
+        .when(_is(_kind("address") != "STRING"), "bad_address")
+        .when(bad_coordinate(_text("lat"), _kind("lat")), "bad_lat")
+        .when(bad_coordinate(lon_text, lon_kind), "bad_lon")
     )
-    return explode_pages(pages).select(
+    return rows.select(
         "page",
         "position",
         id_text.alias("service_request_id"),
-        when.alias("requested_datetime"),
-        rec.text_or("service_name", "").alias("service_name"),
-        rec.text_or("service_code", "").alias("service_code"),
-        rec.text_or("status", settings.default_status).alias("status"),
-        rec.text_or("address", "").alias("address"),
-        rec.text("lat").try_cast("double").alias("lat"),
+        F.col("when").alias("requested_datetime"),
+        _text_or("service_name", "").alias("service_name"),
+        _text_or("service_code", "").alias("service_code"),
+        _text_or("status", settings.default_status).alias("status"),
+        _text_or("address", "").alias("address"),
+        _text("lat").try_cast("double").alias("lat"),
         lon_text.try_cast("double").alias("lon"),
         F.lit(settings.default_city).alias("city"),
         F.to_json(F.col("record")).alias("raw_payload"),
@@ -138,74 +146,82 @@ def reject_counts(records: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
-def key_drift(payload: Column) -> tuple[Column, Column]:
-    """(missing expected keys, unexpected keys) of one JSON object text."""
-    keys = F.json_object_keys(payload)
+def key_drift(keys: Column) -> tuple[Column, Column]:
+    """(missing expected keys, unexpected keys) of one JSON object's keys."""
     expected = F.array(*[F.lit(k) for k in schemas.EXPECTED_KEYS])
     known = F.array(*[F.lit(k) for k in schemas.EXPECTED_KEYS + schemas.OPTIONAL_KEYS])
     return F.array_except(expected, keys), F.array_except(keys, known)
 
 
-def drift_tally(records: DataFrame, by: list[str] | None = None) -> DataFrame:
+def drift_tally(pages: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Drifting keys with the number of records showing each; every object record counts, also
-    those later skipped. A clean batch yields no rows."""
-    by = by or ["page"]
-    missing, unexpected = key_drift(F.col("raw_payload"))
+    those later skipped. A clean batch yields no rows.
+
+    Records are counted per distinct list of keys first (a VARIANT holds them sorted): a feed has
+    few of those, so the key arithmetic runs once per list instead of once per record.
+    """
+    fields = by or ["page"]
+    by = [f.rsplit(".", 1)[-1] for f in fields]
+    missing, unexpected = key_drift(F.col("_keys"))
 
     def tagged(kind: str, keys: Column) -> Column:
         return F.transform(keys, lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key")))
 
-    objects = records.filter(
-        F.coalesce(~F.col("reject_reason").isin("unexpected_payload", "record_not_object"), F.lit(True))
+    keys = F.map_keys(F.try_variant_get("record", "$", "map<string,variant>"))
+    shapes = (
+        explode_pages(pages).select(*fields, keys.alias("_keys")).filter(F.col("_keys").isNotNull())
+        .groupBy(*by, "_keys")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
     return (
-        objects.select(
-            *by, F.explode(F.concat(tagged("missing", missing), tagged("unexpected", unexpected))).alias("d"))
-        .groupBy(*by, F.col("d.kind").alias("kind"), F.col("d.key").alias("key"))
-        .agg(F.count(F.lit(1)).alias("records"))
+        shapes.select(
+            *by, "_n",
+            F.explode(F.concat(tagged("missing", missing), tagged("unexpected", unexpected))).alias("_d"))
+        .groupBy(*by, F.col("_d.kind").alias("kind"), F.col("_d.key").alias("key"))
+        .agg(F.sum("_n").alias("records"))
     )
 
 
 def parse_messages(messages: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Stream messages to typed requests; ``error_type``/``error_message`` are NULL when valid."""
-    typed = messages.withColumn("_text", F.decode(F.col("value"), "UTF-8")).withColumn(
-        "_v", F.try_parse_json("_text"))
-    rec = _Record(F.col("_v"))
-    when = times.utc_timestamp(rec.text("requested_datetime"))
-    payload = rec.member("raw_payload")
-
-    def required_text(key: str) -> Column:
-        return F.coalesce(rec.kind(key) != "STRING", F.lit(True))
+    keys = ("service_request_id", "requested_datetime", "service_name", "service_code", "status",
+            "address", "lat", "lon", "city", "raw_payload")
+    text = F.try_validate_utf8(F.col("value").cast("string"))
+    rows = _opened(
+        messages.withColumn("_v", F.try_parse_json(text)), "_v", keys, [*messages.columns, "_v"])
 
     def bad_coordinate(key: str) -> Column:
-        kind, text = rec.kind(key), rec.text(key)
-        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        return F.coalesce(nested, F.lit(False)) | (text.isNotNull() & text.try_cast("double").isNull())
+        bad = _text(key).isNotNull() & _text(key).try_cast("double").isNull()
+        return _is(_nested(_kind(key))) | bad
+
+    def required_text(key: str) -> Column:
+        return F.coalesce(_kind(key) != "STRING", F.lit(True))
 
     problem = F.when(F.col("_v").isNull(), "value is not JSON").when(
-        ~is_object(F.col("_v")), "value is not an object")
+        ~F.col("is_object"), "value is not an object")
     for key in ("service_request_id", "service_name", "service_code", "status", "address"):
         problem = problem.when(required_text(key), f"{key} is not a string")
     problem = (
-        problem.when(required_text("requested_datetime") | when.isNull(),
+        problem.when(required_text("requested_datetime") | F.col("when").isNull(),
                      "requested_datetime is not an ISO timestamp")
         .when(bad_coordinate("lat"), "lat is not a number")
         .when(bad_coordinate("lon"), "lon is not a number")
-        .when(F.coalesce(rec.not_text("city"), F.lit(False)), "city is not a string")
-        .when(~is_object(payload), "raw_payload is not an object")
+        .when(_is(_kind("city") != "STRING"), "city is not a string")
+        .when(~_is(_kind("raw_payload").startswith("OBJECT")), "raw_payload is not an object")
     )
-    return typed.select(
+    payload = F.to_json(F.try_variant_get("_v", "$.raw_payload", "variant"))
+    return rows.select(
         *messages.columns,
-        rec.text("service_request_id").alias("service_request_id"),
-        when.alias("requested_datetime"),
-        rec.text("service_name").alias("service_name"),
-        rec.text("service_code").alias("service_code"),
-        rec.text("status").alias("status"),
-        rec.text("address").alias("address"),
-        rec.text("lat").try_cast("double").alias("lat"),
-        rec.text("lon").try_cast("double").alias("lon"),
-        rec.text_or("city", settings.default_city).alias("city"),
-        F.to_json(payload).alias("raw_payload"),
+        _text("service_request_id").alias("service_request_id"),
+        F.col("when").alias("requested_datetime"),
+        _text("service_name").alias("service_name"),
+        _text("service_code").alias("service_code"),
+        _text("status").alias("status"),
+        _text("address").alias("address"),
+        _text("lat").try_cast("double").alias("lat"),
+        _text("lon").try_cast("double").alias("lon"),
+        _text_or("city", settings.default_city).alias("city"),
+        payload.alias("raw_payload"),
         F.when(problem.isNotNull(), F.lit("message_parse_error")).alias("error_type"),
         problem.alias("error_message"),
     )

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from curbline.config import DEFAULT, PARENT_LOCATIONS, SLA_STATES, TIERS, UNKNOWN, Settings
@@ -164,13 +166,6 @@ def build(
     outcome: list[tuple[str, str, str, int | None, str]] = []
     blocked: set[str] = set()
 
-    def note_check(model: Model, name: str, violations: int) -> None:
-        warn = name in model.warn_only
-        status = "pass" if violations == 0 else "warn" if warn else "fail"
-        outcome.append((name, "check", "warn" if warn else "error", violations, status))
-        if status == "fail":
-            blocked.add(model.name)
-
     for model in models or project(settings):
         if blocked.intersection(model.reads):
             blocked.add(model.name)
@@ -186,10 +181,30 @@ def build(
             elif database is not None:
                 tables[model.name].createOrReplaceTempView(model.name)
             outcome.append((model.name, "model", "error", None, "built"))
-        if model.row_checks:
-            counts = quality.count_bad_rows(tables[model.name], model.row_checks).head()
-            for name in model.row_checks:
-                note_check(model, name, counts[name])
-        for name, violating in model.checks.items():
-            note_check(model, name, violating(tables).count())
+        for name, violations in _run_checks(model, tables).items():
+            warn = name in model.warn_only
+            status = "pass" if violations == 0 else "warn" if warn else "fail"
+            outcome.append((name, "check", "warn" if warn else "error", violations, status))
+            if status == "fail":
+                blocked.add(model.name)
     return BuildResult(tables, outcome)
+
+
+def _run_checks(model: Model, tables: Tables) -> dict[str, int]:
+    """Violations per check. The checks of a model are independent Spark jobs, so they are submitted
+    together and share the cluster."""
+    def predicates() -> dict[str, int]:
+        counts = quality.count_bad_rows(tables[model.name], model.row_checks).head()
+        return {name: counts[name] for name in model.row_checks}
+
+    jobs: list[Callable[[], dict[str, int]]] = [predicates] if model.row_checks else []
+    for name, violating in model.checks.items():
+        jobs.append(lambda name=name, violating=violating: {name: violating(tables).count()})
+    if not jobs:
+        return {}
+    found: dict[str, int] = {}
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        run = inheritable_thread_target(tables[model.name].sparkSession)(lambda job: job())
+        for part in pool.map(run, jobs):
+            found.update(part)
+    return found

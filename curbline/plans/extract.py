@@ -36,6 +36,7 @@ def stg_portal_requests(portal_requests: DataFrame, portal_pulls: DataFrame) ->
         keys=["sr_number"],
         order=["last_modified_date", "pulled_at", "pull_id"],
         extra=[F.count(F.lit(1)).alias("versions_seen")],
+        order_is_total=True,
     )
     parent = F.col("parent_sr_number")
     return latest.withColumn("parent_sr_number", F.when(parent != "", parent)).select(

@@ -129,7 +129,6 @@ def start_polling(
     A request id is let through once while it is remembered. Memory is bounded by arrival time:
     an id whose record failed to parse was never let through, so it is not remembered.
     """
-    records = validate.feed_records(pages, settings=settings)
     fresh = new_requests(pages, memory, settings)
     trigger = {"availableNow": True} if drain else {"processingTime": f"{settings.poll_seconds} seconds"}
     landed = (
@@ -143,7 +142,7 @@ def start_polling(
             f"{drift_path}/batch_id={batch_id:012d}")
 
     drift = (
-        records.writeStream.option("checkpointLocation", f"{checkpoint}/drift")
+        pages.writeStream.option("checkpointLocation", f"{checkpoint}/drift")
         .foreachBatch(tally).trigger(**trigger).start()
     )
     return landed, drift
