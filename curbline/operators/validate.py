@@ -13,24 +13,24 @@ from pyspark.sql import functions as F
 from curbline import schemas
 from curbline.config import DEFAULT, TIERS, UNKNOWN, Settings
 from curbline.functions import times
+from curbline.operators.once import evaluate_once
 
 
 def _opened(rows: DataFrame, variant: str, keys: tuple[str, ...], keep: list[str]) -> DataFrame:
     """``rows`` with each member's text (``t_<key>``) and JSON type (``k_<key>``).
 
     A type is NULL for an absent key and VOID for an explicit null; the text is NULL for both and
-    for nested values. The members travel through a one-element explode: filters on later columns
-    would otherwise be pushed down with these expressions copied into each of their uses.
+    for nested values.
     """
     shape = "struct<" + ",".join(f"`{k}`:variant" for k in keys) + ">"
     opened = rows.select(*keep, F.try_variant_get(variant, "$", shape).alias("_f"))
-    once = F.explode(F.array(F.struct(
-        F.col("_f").isNotNull().alias("is_object"),
-        *[F.col("_f")[k].try_cast("string").alias(f"t_{k}") for k in keys],
-        *[F.schema_of_variant(F.col("_f")[k]).alias(f"k_{k}") for k in keys],
-        times.utc_timestamp(F.col("_f")["requested_datetime"].try_cast("string")).alias("when"),
-    ))).alias("_m")
-    return opened.select(*keep, once).select(*keep, "_m.*")
+    member = {k: F.col("_f")[k] for k in keys}
+    return evaluate_once(opened, {
+        "is_object": F.col("_f").isNotNull(),
+        **{f"t_{k}": m.try_cast("string") for k, m in member.items()},
+        **{f"k_{k}": F.schema_of_variant(m) for k, m in member.items()},
+        "when": times.utc_timestamp(member["requested_datetime"].try_cast("string")),
+    }, keep)
 
 
 def _kind(key: str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from curbline import schemas
 from curbline.config import DEFAULT, UNKNOWN, Settings
 from curbline.functions import times, values
+from curbline.operators.once import evaluate_once
 
 
 def stg_service_requests(service_requests: DataFrame) -> DataFrame:
@@ -18,10 +19,8 @@ def stg_service_requests(service_requests: DataFrame) -> DataFrame:
 
 def int_resolved_requests(stg: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Closed requests with their close time; rows without one, or closing before they opened, go."""
-    closed = stg.filter(F.col("status") == "closed").withColumn(
-        "updated_datetime",
-        times.utc_timestamp(values.json_text(F.col("raw_payload"), "updated_datetime")),
-    )
+    updated = times.utc_timestamp(values.json_text(F.col("raw_payload"), "updated_datetime"))
+    closed = evaluate_once(stg.filter(F.col("status") == "closed"), {"updated_datetime": updated})
     elapsed = times.millis_between(F.col("requested_datetime"), F.col("updated_datetime"))
     hours = elapsed / F.lit(3600000.0)
     limit = values.threshold_hours(F.col("urgency_label"), settings)
