@@ -13,6 +13,7 @@ from curbline import schemas
 from curbline.config import DEFAULT, Settings
 from curbline.operators import validate
 from curbline.operators.classify import classify
+from curbline.operators.latest import latest_per_key
 from curbline.sinks.requests import RequestTable, dead_letters
 
 Labeller = Callable[[DataFrame], DataFrame]
@@ -20,22 +21,38 @@ Labeller = Callable[[DataFrame], DataFrame]
 
 def labeller(strategy: str, **options) -> Labeller:
     """A classifier bound to a strategy; an unknown one fails here, before the query starts."""
-    if strategy not in ("recorded", "by_type", "rules", "function"):
+    if strategy == "recorded":
+        return lambda rows: classify(
+            rows, strategy, labels=labels_for(rows, options["labels"], options.get("max_ids", 500_000)))
+    if strategy not in ("by_type", "rules", "function"):
         raise ValueError(f"unknown strategy {strategy!r}")
     return lambda rows: classify(rows, strategy, **options)
 
 
-def enrich(messages: DataFrame, label: Labeller, settings: Settings = DEFAULT) -> DataFrame:
-    """Messages with request and label columns and the first error met, if any.
+def labels_for(rows: DataFrame, labels: DataFrame, max_ids: int) -> DataFrame:
+    """The recorded labels a micro-batch asks for, one per id.
 
-    All rows take the same path: labels of rows that did not parse are ignored, so the source is
-    read once and nothing has to be joined back together.
+    A batch is small beside the recording. Its distinct ids are counted, and up to ``max_ids`` of
+    them are broadcast, so the recording is filtered where it is read and neither side of the later
+    join is shuffled, however often one id repeats. A larger batch joins by shuffle.
     """
-    parsed = validate.parse_messages(messages, settings).withColumnsRenamed(
+    ids = rows.select("service_request_id").distinct()
+    small = ids.count() <= max_ids
+    wanted = labels.join(F.broadcast(ids) if small else ids, "service_request_id", "left_semi")
+    newest = latest_per_key(wanted, ["service_request_id"], ["classified_at"])
+    return F.broadcast(newest) if small else newest
+
+
+def label_parsed(parsed: DataFrame, label: Labeller) -> DataFrame:
+    """Parsed messages with label columns and the first error met, if any.
+
+    All rows take the same path: labels of rows that did not parse are ignored, so nothing has to be
+    joined back together.
+    """
+    named = parsed.withColumnsRenamed(
         {"error_type": "parse_error", "error_message": "parse_message"})
-    labelled = label(parsed)
     unparsed = F.col("parse_error").isNotNull()
-    return labelled.withColumns({
+    return label(named).withColumns({
         "error_type": F.when(unparsed, F.col("parse_error")).otherwise(F.col("error_type")),
         "error_message": F.when(unparsed, F.col("parse_message")).otherwise(F.col("error_message")),
     }).drop("parse_error", "parse_message")
@@ -63,7 +80,8 @@ def start_enrichment(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         merge_id = f"{name}-{batch_id:012d}"
-        rows = enrich(batch, label, settings).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = validate.parse_messages(batch, settings).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = label_parsed(parsed, label).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             failed = F.col("error_type").isNotNull()
             counts = rows.agg(F.count_if(~failed).alias("good"), F.count_if(failed).alias("bad")).head()
@@ -83,6 +101,7 @@ def start_enrichment(
                 ).write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={merge_id}")
         finally:
             rows.unpersist()
+            parsed.unpersist()
 
     writer = (
         messages.writeStream.queryName(name)

@@ -171,3 +171,19 @@ def test_catalog_tables(spark):
     requests.create_tables(spark, "raw_test")
     assert spark.table("raw_test.service_requests").schema.fieldNames() == schemas.SERVICE_REQUESTS.fieldNames()
     spark.sql("DROP DATABASE raw_test CASCADE")
+
+
+def test_classify_pending_does_what_is_left(spark, tmp_path):
+    from curbline.plans.pending import classify_pending
+
+    t = requests.RequestTable(spark, str(tmp_path / "t"))
+    t.upsert(enriched(spark, request("a", urgency_label="Unknown"), request("b", urgency_label="Unknown", service_name="Tree"),
+                      request("c")), "m1")
+    rules = {"label": F.when(F.col("service_name") == "Pothole", "Low"), "score": F.lit(0.5),
+             "reasoning": F.lit("rule"), "at": F.lit(T0)}
+    assert classify_pending(t, "m2", "rules", **rules) == {"classified": 1, "failed": 1}
+    assert {k: v[0] for k, v in state(t.current()).items()} == {"a": "Low", "b": "Unknown", "c": "High"}
+    assert classify_pending(t, "m3", "rules", **rules) == {"classified": 0, "failed": 1}
+    rules["label"] = F.lit("Medium")
+    assert classify_pending(t, "m4", "rules", limit=5, sample_seed=1, **rules) == {"classified": 1, "failed": 0}
+    assert state(t.current())["b"][0] == "Medium"

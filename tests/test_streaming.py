@@ -189,3 +189,12 @@ def test_observed_counters(spark, tmp_path):
     rows.observe(o, F.count(F.lit(1)).alias("processed")).count()
     assert o.get == {"processed": 3}
     assert monitors.observed(rows).count() == 3
+
+
+@pytest.mark.parametrize("max_ids", [500_000, 1])
+def test_labels_for_a_batch(spark, max_ids):
+    rows = spark.createDataFrame([("A",), ("A",), ("B",), (None,)], "service_request_id string")
+    recorded = table(spark, request("A", urgency_label="Low"), request("Z"),
+                     request("A", urgency_label="High", classified_at=T0 + timedelta(hours=1)))
+    got = pipeline.labels_for(rows, recorded, max_ids)
+    assert [(r.service_request_id, r.urgency_label) for r in got.collect()] == [("A", "High")]
