@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
@@ -156,23 +156,21 @@ def build(
     settings: Settings = DEFAULT,
     models: list[Model] | None = None,
     database: str | None = None,
+    threads: int = 4,
 ) -> BuildResult:
     """Build models over ``sources``; with a ``database``, also publish the shared ones as tables.
 
     A model is skipped, with its checks, when one it reads was skipped or failed an error-level
-    check. Row predicates of a model are counted together in one pass.
+    check. Models that wait for nothing more are built side by side, so that the cluster is not left
+    to one small job at a time; ``threads`` bounds how many.
     """
+    order = models or project(settings)
     tables: Tables = dict(sources)
-    outcome: list[tuple[str, str, str, int | None, str]] = []
+    notes: dict[str, list[tuple[str, str, str, int | None, str]]] = {}
     blocked: set[str] = set()
 
-    for model in models or project(settings):
-        if blocked.intersection(model.reads):
-            blocked.add(model.name)
-            outcome.append((model.name, "model", "error", None, "skipped"))
-            for name in (*model.row_checks, *model.checks):
-                outcome.append((name, "check", "error", None, "skipped"))
-            continue
+    def finish(model: Model) -> None:
+        out: list[tuple[str, str, str, int | None, str]] = []
         if model.make is not None:
             made = model.make(tables)
             tables[model.name] = materialise(made, model.name) if model.shared else made
@@ -180,19 +178,40 @@ def build(
                 tables[model.name].write.mode("overwrite").saveAsTable(f"{database}.{model.name}")
             elif database is not None:
                 tables[model.name].createOrReplaceTempView(model.name)
-            outcome.append((model.name, "model", "error", None, "built"))
+            out.append((model.name, "model", "error", None, "built"))
         for name, violations in _run_checks(model, tables).items():
             warn = name in model.warn_only
             status = "pass" if violations == 0 else "warn" if warn else "fail"
-            outcome.append((name, "check", "warn" if warn else "error", violations, status))
+            out.append((name, "check", "warn" if warn else "error", violations, status))
             if status == "fail":
                 blocked.add(model.name)
-    return BuildResult(tables, outcome)
+        notes[model.name] = out
+
+    run = inheritable_thread_target(spark)(finish)
+    waiting, running = list(order), {}
+    with ThreadPoolExecutor(threads) as pool:
+        while waiting or running:
+            unfinished = {m.name for m in waiting} | set(running.values())
+            ready = [m for m in waiting if not unfinished.intersection(m.reads)]
+            for model in ready:
+                waiting.remove(model)
+                if blocked.intersection(model.reads):
+                    blocked.add(model.name)
+                    notes[model.name] = [(model.name, "model", "error", None, "skipped")] + [
+                        (name, "check", "error", None, "skipped")
+                        for name in (*model.row_checks, *model.checks)]
+                else:
+                    running[pool.submit(run, model)] = model.name
+            if running:
+                for done in wait(running, return_when=FIRST_COMPLETED).done:
+                    running.pop(done)
+                    done.result()
+    return BuildResult(tables, [note for m in order for note in notes[m.name]])
 
 
 def _run_checks(model: Model, tables: Tables) -> dict[str, int]:
-    """Violations per check. The checks of a model are independent Spark jobs, so they are submitted
-    together and share the cluster."""
+    """Violations per check. The row predicates of a model are counted in one pass; its other checks
+    are jobs of their own, submitted together."""
     def predicates() -> dict[str, int]:
         counts = quality.count_bad_rows(tables[model.name], model.row_checks).head()
         return {name: counts[name] for name in model.row_checks}

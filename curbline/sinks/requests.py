@@ -114,6 +114,12 @@ def publish_messages(requests: DataFrame) -> DataFrame:
         F.encode("service_request_id", "UTF-8").alias("key"), F.encode(body, "UTF-8").alias("value"))
 
 
+def publish(requests: DataFrame, bootstrap: str, topic: str) -> None:
+    """Send requests to a topic; needs the Kafka connector on the cluster's class path."""
+    publish_messages(requests).write.format("kafka").option(
+        "kafka.bootstrap.servers", bootstrap).option("topic", topic).save()
+
+
 def dead_letters(failed: DataFrame) -> DataFrame:
     """Failed messages with their original bytes; the reason travels in the headers."""
     def header(name: str, column: str):

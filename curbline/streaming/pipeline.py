@@ -68,12 +68,13 @@ def start_enrichment(
     drain: bool = False,
     name: str = "enrichment",
     write: Callable[[RequestTable, DataFrame, str], None] | None = None,
+    on_batch: Callable[[dict], None] | None = None,
 ) -> StreamingQuery:
     """Run until stopped, or with ``drain`` until the source is exhausted.
 
     Both outputs are directories named after the micro-batch, so a batch replayed after a failure
     overwrites its own rows. If the write of the good rows fails, they are dead-lettered with the
-    reason and the query goes on.
+    reason and the query goes on. ``on_batch`` receives each batch's processed and failed counts.
     """
     write = write or (lambda table, rows, merge_id: table.upsert(rows, merge_id, ["offset", "partition"]))
 
@@ -94,11 +95,13 @@ def start_enrichment(
                     bad = bad.unionByName(good.withColumns({
                         "error_type": F.lit(type(exc).__name__),
                         "error_message": F.lit(f"warehouse_write_error: {exc}"[:2000])}))
-                    counts = {"bad": counts["bad"] + counts["good"]}
+                    counts = {"good": 0, "bad": counts["bad"] + counts["good"]}
             if counts["bad"]:
                 dead_letters(bad).withColumn(
                     "failed_at", F.current_timestamp().cast("timestamp_ntz")
                 ).write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={merge_id}")
+            if on_batch is not None:
+                on_batch({"batch_id": batch_id, "processed": counts["good"], "failed": counts["bad"]})
         finally:
             rows.unpersist()
             parsed.unpersist()
@@ -142,6 +145,7 @@ def start_polling(
     settings: Settings = DEFAULT,
     memory: str = "7 days",
     drain: bool = False,
+    service_codes: list[str] | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Land new requests and drift tallies from feed pages, as two queries.
 
@@ -149,6 +153,8 @@ def start_polling(
     an id whose record failed to parse was never let through, so it is not remembered.
     """
     fresh = new_requests(pages, memory, settings)
+    if service_codes:
+        fresh = fresh.filter(F.col("service_code").isin(*service_codes))
     trigger = {"availableNow": True} if drain else {"processingTime": f"{settings.poll_seconds} seconds"}
     landed = (
         fresh.writeStream.format("parquet").outputMode("append")

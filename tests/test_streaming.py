@@ -45,7 +45,9 @@ def test_three_stage_routing_and_restart(spark, tmp_path):
     recorded = labels(spark, A="High", B="Low", C="Bogus")
     put(spark, tmp_path / "in", body(service_request_id="A"), b"{cut", b"\xff\xfe",
         body(service_request_id="X"), body(service_request_id="C"), body(service_request_id="A", status="closed"))
-    run(spark, tmp_path, recorded)
+    counts = []
+    run(spark, tmp_path, recorded, on_batch=counts.append)
+    assert counts == [{"batch_id": 0, "processed": 2, "failed": 4}]
     assert stored(spark, tmp_path) == {"A": "High"}
     current = RequestTable(spark, str(tmp_path / "requests")).current().head()
     assert current.status == "closed"
