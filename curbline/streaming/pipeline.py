@@ -43,6 +43,13 @@ def labels_for(rows: DataFrame, labels: DataFrame, max_ids: int) -> DataFrame:
     return F.broadcast(newest) if small else newest
 
 
+def spread(batch: DataFrame, most: int = 200) -> DataFrame:
+    """A micro-batch over enough tasks to keep the cores busy. A topic has few partitions and one may
+    hold most of the messages, while parsing and labelling are bound by CPU."""
+    wanted = min(batch.sparkSession.sparkContext.defaultParallelism, most)
+    return batch if batch.rdd.getNumPartitions() >= wanted else batch.repartition(wanted)
+
+
 def label_parsed(parsed: DataFrame, label: Labeller) -> DataFrame:
     """Parsed messages with label columns and the first error met, if any.
 
@@ -81,7 +88,7 @@ def start_enrichment(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         merge_id = f"{name}-{batch_id:012d}"
-        parsed = validate.parse_messages(batch, settings).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = validate.parse_messages(spread(batch), settings).persist(StorageLevel.MEMORY_AND_DISK)
         rows = label_parsed(parsed, label).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             failed = F.col("error_type").isNotNull()
