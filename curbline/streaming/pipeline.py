@@ -23,7 +23,7 @@ def labeller(strategy: str, **options) -> Labeller:
     """A classifier bound to a strategy; an unknown one fails here, before the query starts."""
     if strategy == "recorded":
         return lambda rows: classify(
-            rows, strategy, labels=labels_for(rows, options["labels"], options.get("max_ids", 500_000)))
+            rows, strategy, labels=labels_for(rows, options["labels"], options.get("max_ids", 200_000)))
     if strategy not in ("by_type", "rules", "function"):
         raise ValueError(f"unknown strategy {strategy!r}")
     return lambda rows: classify(rows, strategy, **options)
