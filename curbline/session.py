@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -36,13 +37,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for durable intermediates; a scratch one only if it names none."""
+    """The folder the cluster names for durable intermediates, else one beside the warehouse tables."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    own = tempfile.mkdtemp(prefix="curbline-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
