@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from curbline.llm import line_dedup, mixture, secrets, token_counts, token_planes
+from curbline.llm import line_dedup, mixture, secrets, token_counts, token_planes, vector_dedup
 
 QUERIES = {
     "op3_secret_scan": secrets.query,
     "op4_mixture": mixture.query,
+    "op5_vector_dedup": vector_dedup.query,
     "op6_line_dedup": line_dedup.query,
     "op9_token_counts": token_counts.query,
     "op10_token_planes": token_planes.query,
