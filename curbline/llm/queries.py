@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from curbline.llm import line_dedup, mixture, secrets, token_counts, token_planes, vector_dedup
+from curbline.llm import (
+    line_dedup, mixture, ngram_join, secrets, substring_dedup, token_counts, token_planes, vector_dedup,
+)
 
 QUERIES = {
+    "op1_ngram_join": ngram_join.query,
+    "op2_substring_dedup": substring_dedup.query,
     "op3_secret_scan": secrets.query,
     "op4_mixture": mixture.query,
     "op5_vector_dedup": vector_dedup.query,
