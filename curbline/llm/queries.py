@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from curbline.llm import (
-    line_dedup, mixture, ngram_join, secrets, substring_dedup, token_counts, token_planes, vector_dedup,
+    line_dedup, mixture, ngram_join, secrets, substring_dedup, token_counts, token_planes, toxicity,
+    vector_dedup,
 )
 
 QUERIES = {
@@ -13,6 +14,7 @@ QUERIES = {
     "op4_mixture": mixture.query,
     "op5_vector_dedup": vector_dedup.query,
     "op6_line_dedup": line_dedup.query,
+    "op7_toxicity": toxicity.query,
     "op9_token_counts": token_counts.query,
     "op10_token_planes": token_planes.query,
 }
