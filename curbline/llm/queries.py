@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from curbline.llm import (
-    line_dedup, mixture, ngram_join, secrets, substring_dedup, token_counts, token_planes, toxicity,
+    decontamination, line_dedup, mixture, ngram_join, secrets, substring_dedup, token_counts, token_planes, toxicity,
     vector_dedup,
 )
 
@@ -15,6 +15,7 @@ QUERIES = {
     "op5_vector_dedup": vector_dedup.query,
     "op6_line_dedup": line_dedup.query,
     "op7_toxicity": toxicity.query,
+    "op8_decontamination": decontamination.query,
     "op9_token_counts": token_counts.query,
     "op10_token_planes": token_planes.query,
 }
