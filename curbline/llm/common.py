@@ -55,9 +55,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def window_hashes(h: np.ndarray, size: int, starts: np.ndarray | None = None) -> np.ndarray:
     """64-bit hashes of the windows of ``size`` word hashes, at ``starts`` or at every position."""
-    if starts is None:
-        starts = np.arange(max(0, len(h) - size + 1))
-    out = np.zeros(len(starts), dtype=np.uint64)
+    n = max(0, len(h) - size + 1) if starts is None else len(starts)
+    out = np.zeros(n, dtype=np.uint64)
     for k in range(size):
-        out = out * MULTIPLIER + h[starts + k]
+        out *= MULTIPLIER
+        out += h[k: k + n] if starts is None else h[starts + k]
     return mixed(out ^ np.uint64(size))
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct elements."""
+    x = np.sort(x)
+    first = np.ones(len(x), dtype=bool)
+    np.not_equal(x[1:], x[:-1], out=first[1:])
+    return x[first]

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import bounded, mixed, one_per_id, window_hashes, word_hashes, words_of
+from curbline.llm.common import bounded, distinct, mixed, one_per_id, window_hashes, word_hashes, words_of
 from curbline.llm.components import connected_components
 from curbline.session import materialise
 
@@ -17,6 +17,8 @@ from curbline.session import materialise
 FREQUENT = 100_000
 # Sets above this size are never enumerated by subsets, whatever the estimated cost.
 LARGEST_SMALL = 256
+# Rounds in which every member of a list tries one other before the rest of the pairs are looked at.
+ATTEMPTS = 3
 
 Ratio = tuple[int, int]
 
@@ -25,7 +27,7 @@ def shingle_set(text: bytes | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of the shingles of ``size`` words (A-Z lower-cased); of a shorter text,
     one hash of all its words; of a text without words, none."""
     h = word_hashes(words_of(text.lower() if text else text))
-    return np.unique(window_hashes(h, min(size, len(h)))) if len(h) else h
+    return distinct(window_hashes(h, min(size, len(h)))) if len(h) else h
 
 
 def _least(n: int, at_least: Ratio) -> int:
@@ -156,25 +158,30 @@ def _within_reach(at_least: Ratio, n: str, m: str, reach_n: str, reach_m: str):
     return F.expr(f"least({reach_n}, {reach_m}) * {num + den} >= {num} * ({n} + {m})")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, size: int, at_least: Ratio) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity; only the paired documents' sets are built."""
-    ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "join-ids")
-    needed = docs.join(bounded(ids), F.col("doc_id") == F.col("id"), "left_semi")
+def _sets(docs: DataFrame, size: int, names: str) -> DataFrame:
+    """The set of every row of (doc_id, text, other): (doc_id, other, s) under the given names."""
+    first, second = names.split()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(d, shingle_set(t, size).view(np.int64)) for d, t in _texts(batch)]
-            offsets = np.cumsum([0, *[len(s) for _, s in rows]])
-            flat = np.concatenate([s for _, s in rows]) if rows else np.zeros(0, np.int64)
+            rows = [shingle_set(t, size).view(np.int64) for _, t in _texts(batch)]
+            offsets = np.cumsum([0, *map(len, rows)])
+            flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in rows], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))],
-                names=["id", "s"])
+                [batch.column(0), batch.column(2), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))],
+                names=[first, second, f"s_{first}"])
+
+    return docs.mapInArrow(run, f"{first} long, {second} long, s_{first} array<long>")
 
-    sets = materialise(needed.mapInArrow(run, "id long, s array<long>"), "join-sets")
-    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-            .withColumn("common", F.size(F.array_intersect("sa", "sb"))))
-    return both.where(f"common * {at_least[1]} >= {at_least[0]} * (size(sa) + size(sb) - common)").select("a", "b")
+
+def _verified(docs: DataFrame, pairs: DataFrame, size: int, at_least: Ratio) -> DataFrame:
+    """The pairs (a, b) of a written table whose sets reach the similarity. Only paired documents' sets
+    are built; one set per pair travels to the other's, and a set with many partners is split by AQE."""
+    partners = materialise(pairs.select("b").distinct(), "join-partners")
+    left = _sets(docs.join(bounded(pairs), F.col("doc_id") == F.col("a")).select("doc_id", "text", "b"), size, "a b")
+    right = _sets(docs.join(bounded(partners), F.col("doc_id") == F.col("b")).select("doc_id", "text", "b"), size, "b same")
+    both = left.join(right, "b").withColumn("common", F.size(F.array_intersect("s_a", "s_b")))
+    return both.where(f"common * {at_least[1]} >= {at_least[0]} * (size(s_a) + size(s_b) - common)").select("a", "b")
 
 
 def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> DataFrame:
@@ -187,8 +194,9 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
     * small sets publish all two-element subsets of their prefix, large sets the elements of theirs,
       into inverted lists; the boundary between small and large is where the estimated rows are fewest.
       Sets that a large one can match publish elements too, so a pair on either side of it is found;
-    * each list first pairs its members with one of them, that with the fewest rare elements, and exact
-      checks of those pairs give components. Then only members of different components in one list pair
+    * each list proposes to its members one of them, at first that with the fewest rare elements; a set is
+      checked against the one that most of its lists propose. Links give components, and the lists that
+      still hold several propose anew, ``ATTEMPTS`` times in all. Then only members of different components in one list pair
       with each other, if sizes and places in the lists allow the similarity, and are checked.
 
     So a group of copies costs as many pairs as members, and no linked pair of different components is
@@ -216,22 +224,34 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
     repeated = bounded(materialise(keys.groupBy("key").count().where("count > 1").select("key"), "join-keys"))
     lists = materialise(keys.join(repeated, "key", "left_semi").select(
         "key", "doc", F.expr("packed >> 32").alias("n"), F.expr("packed & 4294967295").alias("reach")), "join-lists")
-    centre = lists.groupBy("key").agg(F.min(F.struct(F.expr("n - reach").alias("rare"), "doc", "n", "reach")).alias("hub"))
-    stars = materialise(
-        lists.join(centre, "key").where("doc <> hub.doc").where(_within_reach(at_least, "n", "hub.n", "reach", "hub.reach"))
-        .select(F.least("doc", "hub.doc").alias("a"), F.greatest("doc", "hub.doc").alias("b")).distinct(), "join-stars")
-    linked = materialise(_verified(docs, stars, size, at_least), "join-links")
-    nodes = connected_components(linked, "a", "b")
-
-    grouped = (lists.join(bounded(nodes.withColumnRenamed("node", "doc")), "doc", "left")
-               .select("key", "doc", "n", "reach", F.coalesce("component", "doc").alias("component")))
-    mixed_keys = grouped.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    open_lists = materialise(grouped.join(mixed_keys, "key", "left_semi"), "join-open")
+    open_lists, nodes, tried, linked = lists.withColumn("component", F.col("doc")), None, None, None
+    for attempt in range(ATTEMPTS):
+        preference = F.expr("n - reach") if attempt == 0 else F.xxhash64("doc", F.lit(attempt))
+        centre = open_lists.groupBy("key").agg(F.min(F.struct(preference.alias("rank"), "doc", "n", "reach", "component")).alias("hub"))
+        near = (open_lists.join(centre, "key").where("component <> hub.component")
+                .where(_within_reach(at_least, "n", "hub.n", "reach", "hub.reach"))
+                .groupBy("doc", F.col("hub.doc").alias("hub")).agg(F.count("*").alias("lists")))
+        tries = (near.groupBy("doc").agg(F.max_by("hub", F.struct("lists", "hub")).alias("hub"))
+                 .select(F.col("doc").alias("a"), F.col("hub").alias("b")))
+        if tried is not None:
+            tries = tries.join(tried, ["a", "b"], "left_anti")
+        tries = materialise(tries, "join-tries")
+        tried = tries if tried is None else tried.unionByName(tries)
+        found = materialise(_verified(docs, tries, size, at_least), "join-links")
+        linked = found if linked is None else found.unionByName(nodes.where("node <> component").select(
+            F.col("node").alias("a"), F.col("component").alias("b")))
+        nodes = materialise(connected_components(linked, "a", "b"), "join-nodes")
+        grouped = (lists.join(bounded(nodes.withColumnRenamed("node", "doc")), "doc", "left")
+                   .select("key", "doc", "n", "reach", F.coalesce("component", "doc").alias("component")))
+        mixed_keys = (grouped.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                      .where("lo <> hi").select("key"))
+        open_lists = materialise(grouped.join(mixed_keys, "key", "left_semi"), "join-open")
     x, y = (open_lists.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "reach", "component")]) for side in "ab")
     rest = (x.join(y, "key").where("doc_a < doc_b AND component_a <> component_b")
             .where(_within_reach(at_least, "n_a", "n_b", "reach_a", "reach_b"))
             .select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct())
-    rest = materialise(rest.join(stars, ["a", "b"], "left_anti"), "join-rest")
+    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = materialise(rest.join(tried, ["a", "b"], "left_anti"), "join-rest")
     more = materialise(_verified(docs, rest, size, at_least), "join-more")
 
     same = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "h1", "h2").agg(
