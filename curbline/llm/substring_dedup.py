@@ -32,7 +32,7 @@ def cover_for(words: int) -> tuple[int, int]:
 
 def _batch(hashes: list[np.ndarray], docs: list, places: list[np.ndarray]) -> pa.RecordBatch:
     """Rows of one batch. Hashes that repeat in it are known to; one row speaks for them elsewhere, and
-    the rest get hashes of their own place, so a common passage doesn't gather anywhere."""
+    the rest get their document's hash, so a common passage doesn't gather anywhere."""
     h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     at = np.concatenate(places).astype(np.int32) if places else np.zeros(0, np.int32)
     which = np.repeat(np.arange(len(docs)), [len(x) for x in places]) if places else np.zeros(0, np.int64)
@@ -44,7 +44,7 @@ def _batch(hashes: list[np.ndarray], docs: list, places: list[np.ndarray]) -> pa
         state[first[count > 1]] = SPEAKER
         scattered = state == KNOWN
         ids = np.array([0 if d is None else d for d in docs], dtype=np.int64).view(np.uint64)
-        h = np.where(scattered, mixed(ids[which] * MULTIPLIER + at.astype(np.uint64)), h)
+        h = np.where(scattered, mixed(ids * MULTIPLIER)[which], h)
     doc_ids = pa.array(docs, pa.int64()).take(pa.array(which))
     return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), doc_ids, pa.array(at), pa.array(state)],
                                       names=["hash", "doc_id", "at", "state"])
