@@ -20,9 +20,9 @@ PRE_TOKEN = (r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{
              r"|[" + SPACE + r"]+(?![^" + SPACE + r"])|[" + SPACE + r"]+")
 
 # The most frequent pre-tokens, whose counts go to every task: at most so many of at most so many
-# characters, under 16 MB. The rest are joined by a shuffle.
-FREQUENT = 65_536
-FREQUENT_CHARS = 48
+# characters, under 40 MB. The rest are joined by a shuffle.
+FREQUENT = 200_000
+FREQUENT_CHARS = 32
 
 _LOADED: dict[str, object] = {}
 
