@@ -21,9 +21,12 @@ from curbline.session import shared_dir
 BLOCK_IDS = 65_536
 # Rows of text a shard aims at. A shard is one task's sorted stretch of doc_ids.
 SHARD_BYTES = 64 << 20
-# Words whose ids a worker remembers: so many, of at most so many bytes.
-REMEMBERED = 300_000
+# Words whose ids a worker remembers: twice so many, of at most so many bytes.
+REMEMBERED = 200_000
 REMEMBERED_BYTES = 64
+# Documents that are looked up together; their new words are encoded in one call.
+TOGETHER = 64
+MARK = "\x1f"
 
 BLOCKS = ("shard int, block int, first_id long, n_ids int, width int, planes array<binary>, "
           "docs array<struct<seq: int, doc_id: long, start: int, n: int, whole: boolean>>")
@@ -60,38 +63,61 @@ def from_planes(width: int, planes: list[bytes], n_ids: int) -> np.ndarray:
 
 class Encoder:
     """Ids of texts for a tokenizer that drops white space: no token crosses an ASCII blank, so the ids
-    of a text are those of its blank-separated words, and each word is encoded once while remembered."""
+    of a text are those of its blank-separated words, and a word is encoded once while remembered.
+
+    New words go through the tokenizer in one text, with a control character between them, whose id
+    then marks where each word's ids end. Words that hold that character are encoded by themselves.
+    Words used since the last turnover, or since the one before, are remembered.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.pool: list[np.ndarray] = []
-
-    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(x.ids, dtype=np.uint32) for x in found]
-
-    def ids(self, text: bytes | None) -> np.ndarray:
-        words = words_of(text)
-        if not words:
-            return np.zeros(0, dtype=np.uint32)
-        if len(self.index) > REMEMBERED:
-            self.forget()
-        index, pool = self.index, self.pool
-        new = [w for w in dict.fromkeys(words) if w not in index]
-        if not new:
-            return np.concatenate([pool[i] for i in map(index.__getitem__, words)])
-        fresh = dict(zip(new, self._encode(new)))
-        for w, x in fresh.items():
-            if len(w) <= REMEMBERED_BYTES:
-                index[w] = len(pool)
-                pool.append(x)
-        return np.concatenate([fresh[w] if w in fresh else pool[index[w]] for w in words])
+        # A word of one control character stands between words; its id shows where each word's ids end.
+        found = self._ids(MARK)
+        self.mark_id = int(found[0]) if len(found) == 1 else None
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        odd = {w for w in words if self.mark_id is None or MARK.encode() in w}
+        plain = [w for w in words if w not in odd]
+        out = {w: self._ids(w.decode()).tobytes() for w in odd}
+        if plain:
+            ids = self._ids(f" {MARK} ".join(w.decode() for w in plain))
+            ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
+            raw, start = ids.tobytes(), 0
+            for w, end in zip(plain, ends):
+                out[w] = raw[4 * start: 4 * end]
+                start = end + 1
+        return out
+
+    def many(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """The ids of each text."""
+        split = [words_of(t) for t in texts]
+        fresh: dict[bytes, bytes] = {}
+        new = []
+        for w in set().union(*split):
+            if w not in self.young:
+                if w in self.old:
+                    self.young[w] = self.old[w]
+                else:
+                    new.append(w)
+        if new:
+            fresh = self._encode(new)
+            self.young |= fresh
+        get = self.young.__getitem__
+        out = [np.frombuffer(b"".join(map(get, words)), dtype="<u4") for words in split]
+        for w in fresh:
+            if len(w) > REMEMBERED_BYTES:
+                del self.young[w]
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        return out
 
 
 def write_token_planes(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, unit: str = "byte",
@@ -115,7 +141,6 @@ def write_token_planes(docs: DataFrame, path: str, tokenizer_path: str, end_id:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard = Encoder(tokenizer_path), TaskContext.get().partitionId()
-        schema = None
         waiting: list[np.ndarray] = []
         held, block, first, seq = 0, 0, 0, 0
         listed: list[dict] = []
@@ -128,10 +153,16 @@ def write_token_planes(docs: DataFrame, path: str, tokenizer_path: str, end_id:
             block, first, listed = block + 1, first + len(ids), []
             return made
 
+        def encoded(batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
+            for k in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(k, TOGETHER)
+                texts = part.column(1).cast(pa.binary()).to_pylist()
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.many(texts)):
+                    yield doc_id, np.append(ids, np.uint32(end_id))
+
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                ids = np.append(encoder.ids(text), np.uint32(end_id))
+            for doc_id, ids in encoded(batch):
                 whole = held + len(ids) <= block_ids
                 while len(ids):
                     part, ids = ids[: block_ids - held], ids[block_ids - held:]
