@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,14 +50,23 @@ class RequestTable:
 
     def upsert(self, rows: DataFrame, merge_id: str, order: list[str] | None = None,
                merged_at: datetime | None = None) -> None:
-        """Add one merge. ``merge_id`` names it; the same id again replaces it."""
-        stamp = (merged_at or datetime.now(timezone.utc)).astimezone(timezone.utc).replace(tzinfo=None)
+        """Add one merge. ``merge_id`` names it; the same id again replaces it and keeps its time."""
+        stamp = self._stamp(merge_id) or (
+            merged_at or datetime.now(timezone.utc)).astimezone(timezone.utc).replace(tzinfo=None)
         newest = latest_per_key(rows, [KEY], order or ["classified_at"])
         (
             newest.select(*schemas.ENRICHED.fieldNames(), F.lit(stamp).alias("_merged_at"))
             .write.mode("overwrite").parquet(f"{self.path}/merge_id={merge_id}")
         )
 
+    def _stamp(self, merge_id: str) -> datetime | None:
+        """The time of a merge that is stored already."""
+        try:
+            stored = self.spark.read.schema(_STORED).parquet(f"{self.path}/merge_id={merge_id}")
+        except AnalysisException:
+            return None
+        return stored.agg(F.max("_merged_at")).head()[0]
+
     def current(self) -> DataFrame:
         """One row per id: its newest values and the time it was first merged."""
         stored = self.spark.read.schema(_STORED).option("basePath", self.path).parquet(self.path)

@@ -8,6 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from curbline import schemas
 from curbline.config import DEFAULT, Settings
@@ -43,11 +44,10 @@ def labels_for(rows: DataFrame, labels: DataFrame, max_ids: int) -> DataFrame:
     return F.broadcast(newest) if small else newest
 
 
-def spread(batch: DataFrame, most: int = 200) -> DataFrame:
-    """A micro-batch over enough tasks to keep the cores busy. A topic has few partitions and one may
-    hold most of the messages, while parsing and labelling are bound by CPU."""
-    wanted = min(batch.sparkSession.sparkContext.defaultParallelism, most)
-    return batch if batch.rdd.getNumPartitions() >= wanted else batch.repartition(wanted)
+def spread(batch: DataFrame) -> DataFrame:
+    """A micro-batch dealt evenly over the cores. A topic has few partitions and one may hold most of the
+    messages, while parsing and labelling are bound by CPU."""
+    return batch.repartition(batch.sparkSession.sparkContext.defaultParallelism)
 
 
 def label_parsed(parsed: DataFrame, label: Labeller) -> DataFrame:
@@ -79,15 +79,16 @@ def start_enrichment(
 ) -> StreamingQuery:
     """Run until stopped, or with ``drain`` until the source is exhausted.
 
-    Both outputs are directories named after the micro-batch, so a batch replayed after a failure
-    overwrites its own rows. If the write of the good rows fails, they are dead-lettered with the
+    Both outputs are directories named after the query's lasting id and the micro-batch, so a batch
+    replayed after a failure overwrites its own rows and no other query's. If the write of the good rows fails, they are dead-lettered with the
     reason and the query goes on. ``on_batch`` receives each batch's processed and failed counts.
     """
     write = write or (lambda table, rows, merge_id: table.upsert(rows, merge_id, ["offset", "partition"]))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        merge_id = f"{name}-{batch_id:012d}"
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        merge_id = f"{name}-{query_id}-{batch_id:012d}"
         parsed = validate.parse_messages(spread(batch), settings).persist(StorageLevel.MEMORY_AND_DISK)
         rows = label_parsed(parsed, label).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -101,7 +102,7 @@ def start_enrichment(
                 except Exception as exc:  # any sink failure must not block the stream
                     bad = bad.unionByName(good.withColumns({
                         "error_type": F.lit(type(exc).__name__),
-                        "error_message": F.lit(f"warehouse_write_error: {exc}"[:2000])}))
+                        "error_message": F.lit(f"warehouse_write_error: {exc}")}))
                     counts = {"good": 0, "bad": counts["bad"] + counts["good"]}
             if counts["bad"]:
                 dead_letters(bad).withColumn(
@@ -124,15 +125,19 @@ def start_enrichment(
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
-    """Dead letters with the reason as columns, each source message once."""
+    """Dead letters with the reason as columns, each source message once, with its newest reason."""
     rows = spark.read.option("basePath", path).parquet(path)
     reason = F.map_from_entries("headers")
-    return rows.select(
+    rows = rows.select(
         *schemas.DEAD_LETTER.fieldNames(),
         "failed_at",
         F.decode(reason["exception_type"], "UTF-8").alias("exception_type"),
         F.decode(reason["exception_message"], "UTF-8").alias("exception_message"),
-    ).dropDuplicates(["topic", "partition", "offset"])
+    )
+    newest = F.row_number().over(
+        Window.partitionBy("topic", "partition", "offset")
+        .orderBy(F.desc("failed_at"), "exception_type", "exception_message"))
+    return rows.withColumn("_newest", newest).filter("_newest = 1").drop("_newest")
 
 
 def replayable(dead: DataFrame) -> DataFrame:

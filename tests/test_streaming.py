@@ -65,14 +65,30 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     recorded = labels(spark, A="High")
     put(spark, tmp_path / "in", body(service_request_id="A"), body(service_request_id="X"))
     run(spark, tmp_path, recorded)
+    rows = RequestTable(spark, str(tmp_path / "requests")).current().collect()
     before = (stored(spark, tmp_path), set(dead(spark, tmp_path)))
     for commit in (tmp_path / "cp" / "commits").iterdir():
         commit.unlink()
     run(spark, tmp_path, recorded)
     assert (stored(spark, tmp_path), set(dead(spark, tmp_path))) == before
+    assert RequestTable(spark, str(tmp_path / "requests")).current().collect() == rows
     assert spark.read.parquet(str(tmp_path / "dead")).count() == 1
 
 
+def test_two_queries_share_a_table(spark, tmp_path):
+    """A new checkpoint starts its batches at 0 again; earlier merges and dead letters stay."""
+    recorded = labels(spark, A="High", B="Low")
+    put(spark, tmp_path / "in", body(service_request_id="A"), b"{cut")
+    run(spark, tmp_path, recorded)
+    second = tmp_path / "second"
+    put(spark, second / "in", body(service_request_id="B"), b"{cut", start=5)
+    q = pipeline.start_enrichment(
+        sources.file_messages(spark, str(second / "in")), pipeline.labeller("recorded", labels=recorded),
+        str(tmp_path / "requests"), str(tmp_path / "dead"), str(second / "cp"), drain=True)
+    q.awaitTermination()
+    assert stored(spark, tmp_path) == {"A": "High", "B": "Low"} and set(dead(spark, tmp_path)) == {1, 6}
+
+
 def test_write_failure_goes_to_dead_letters(spark, tmp_path):
     def broken(table, rows, merge_id):
         raise OSError("disk gone")
