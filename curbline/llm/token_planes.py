@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -27,6 +28,9 @@ REMEMBERED_BYTES = 64
 # Documents that are looked up together; their new words are encoded in one call.
 TOGETHER = 64
 MARK = "\x1f"
+# The tokenizer's cut of a lower-cased word, for the characters that PLAIN admits.
+PLAIN = re.compile("[!-~\u00c0-\u00ff]+")
+PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+")
 
 BLOCKS = ("shard int, block int, first_id long, n_ids int, width int, planes array<binary>, "
           "docs array<struct<seq: int, doc_id: long, start: int, n: int, whole: boolean>>")
@@ -65,9 +69,13 @@ class Encoder:
     """Ids of texts for a tokenizer that drops white space: no token crosses an ASCII blank, so the ids
     of a text are those of its blank-separated words, and a word is encoded once while remembered.
 
-    New words go through the tokenizer in one text, with a control character between them, whose id
-    then marks where each word's ids end. Words that hold that character are encoded by themselves.
-    Words used since the last turnover, or since the one before, are remembered.
+    The tokenizer lower-cases a word and cuts it where letters, digits and marks meet, and no token
+    crosses such a cut either. New words of plain letters and marks are cut here in the same way, so
+    that words which differ in case or punctuation share their stem's ids; others stay whole.
+
+    New pieces go through the tokenizer in one text, with a control character between them, whose id
+    then marks where each piece's ids end. Pieces that hold that character are encoded by themselves.
+    What was used since the last turnover, or since the one before, is remembered.
     """
 
     def __init__(self, path: str):
@@ -77,18 +85,17 @@ class Encoder:
         # A word of one control character stands between words; its id shows where each word's ids end.
         found = self._ids(MARK)
         self.mark_id = int(found[0]) if len(found) == 1 else None
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.words, self.pieces = Memory(REMEMBERED), Memory(REMEMBERED)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
-        odd = {w for w in words if self.mark_id is None or MARK.encode() in w}
-        plain = [w for w in words if w not in odd]
-        out = {w: self._ids(w.decode()).tobytes() for w in odd}
+    def _encode(self, pieces: list[str]) -> dict[str, bytes]:
+        odd = {w for w in pieces if self.mark_id is None or MARK in w}
+        plain = [w for w in pieces if w not in odd]
+        out = {w: self._ids(w).tobytes() for w in odd}
         if plain:
-            ids = self._ids(f" {MARK} ".join(w.decode() for w in plain))
+            ids = self._ids(f" {MARK} ".join(plain))
             ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
             raw, start = ids.tobytes(), 0
             for w, end in zip(plain, ends):
@@ -99,27 +106,63 @@ class Encoder:
     def many(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """The ids of each text."""
         split = [words_of(t) for t in texts]
-        fresh: dict[bytes, bytes] = {}
-        new = []
-        for w in set().union(*split):
-            if w not in self.young:
-                if w in self.old:
-                    self.young[w] = self.old[w]
-                else:
-                    new.append(w)
-        if new:
-            fresh = self._encode(new)
-            self.young |= fresh
-        get = self.young.__getitem__
-        out = [np.frombuffer(b"".join(map(get, words)), dtype="<u4") for words in split]
-        for w in fresh:
-            if len(w) > REMEMBERED_BYTES:
-                del self.young[w]
-        if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
+        cut = {w: [w.lower().decode()] if w.isalpha() else cut_word(w.decode())
+               for w in self.words.missing(set().union(*split))}
+        pieces = self.pieces.missing(set().union(*cut.values()))
+        self.pieces.young |= self._encode(pieces)
+        piece, get = self.pieces.young, self.words.young
+        for w, parts in cut.items():
+            get[w] = piece[parts[0]] if len(parts) == 1 else b"".join([piece[p] for p in parts])
+        of = get.__getitem__
+        out = [np.frombuffer(b"".join(map(of, words)), dtype="<u4") for words in split]
+        self.words.turn(cut)
+        self.pieces.turn(pieces)
         return out
 
 
+class Memory:
+    """Answers used of late: between ``most`` and twice as many, of keys up to ``REMEMBERED_BYTES``."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """The keys without an answer; the answers of the others are in ``young`` afterwards."""
+        young, old, absent = self.young, self.old, []
+        for k in keys.difference(young):
+            if k in old:
+                young[k] = old[k]
+            else:
+                absent.append(k)
+        return absent
+
+    def turn(self, fresh) -> None:
+        """Forget what is too long of the ``fresh`` keys and, when it is time, what wasn't used of late."""
+        for k in fresh:
+            if len(k) > REMEMBERED_BYTES:
+                del self.young[k]
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+
+
+def cut_word(word: str) -> list[str]:
+    """The pieces of a word of printable Latin-1 characters; any other word whole, and one that may
+    hold a special string."""
+    if PLAIN.fullmatch(word) and "<|" not in word:
+        return PIECE.findall(word.lower())
+    return [word]
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """One encoder per worker and tokenizer."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def write_token_planes(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, unit: str = "byte",
                        block_ids: int = BLOCK_IDS, shard_bytes: int = SHARD_BYTES) -> None:
     """Encode (doc_id, text, ...) and write the ids of all documents, in ascending doc_id order, to ``path``.
@@ -140,7 +183,7 @@ def write_token_planes(docs: DataFrame, path: str, tokenizer_path: str, end_id:
     shards = max(1, min(total[0], max(docs.sparkSession.sparkContext.defaultParallelism, -(-(total[1] or 0) // shard_bytes))))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = Encoder(tokenizer_path), TaskContext.get().partitionId()
+        encoder, shard = _encoder(tokenizer_path), TaskContext.get().partitionId()
         waiting: list[np.ndarray] = []
         held, block, first, seq = 0, 0, 0, 0
         listed: list[dict] = []
