@@ -1,5 +1,6 @@
 """Operators of curbline.llm on small tables with nulls, blanks, ties, repeats, clashes and no rows."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -210,6 +211,19 @@ def test_token_planes(spark, docs, none, tmp_path, unit, block):
     assert token_planes.read_token_planes(spark, str(tmp_path / "none")).collect() == []
 
 
+def test_encoder_gives_the_librarys_ids_while_it_forgets():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), token_planes.Encoder(path)
+    encoder.words.most, encoder.pieces.most = 40, 20
+    rng = random.Random(5)
+    parts = [*map(chr, range(1, 0x180)), *"''sStTdl<|>  AZ09", "<|endoftext|>", "'s", "e\u0301", "\u03a3", "\u6f22", "long" * 30]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 50))) for _ in range(3_000)]
+    for k in range(0, len(texts), 50):
+        part = texts[k: k + 50]
+        for text, ids in zip(part, encoder.many([t.encode() for t in part])):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_lexicon_matches_within_one_edit():
     lexicon = toxicity.FuzzyLexicon([("idiot", False, 2.0), ("scum", False, 1.5), ("lowei", True, 1.0)])
     for word, want in {"idiot": (2.0, 0), "idot": (0, 2.0), "idiott": (0, 2.0), "idxot": (0, 2.0), "idxxt": (0, 0), "scm": (0, 0),
