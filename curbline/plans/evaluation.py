@@ -11,23 +11,22 @@ from pyspark.sql import functions as F
 
 from curbline.config import TIERS, UNKNOWN
 from curbline.functions import values
+from curbline.sources.files import listed
 
 
 def pair_labels(sheet: DataFrame, recorded: DataFrame) -> DataFrame:
     """Sheet rows with the model's label. Raises on a label outside the tiers or an unknown id."""
     human = sheet.withColumn("human", values.normalised_label(F.col("human_label")))
-    odd = human.filter(F.col("human").isNull() | ~F.col("human").isin(*TIERS)).select("item").head(5)
-    if odd:
-        raise ValueError(f"unrecognised human label on items {[r.item for r in odd]}")
+    if odd := listed(human.filter(F.col("human").isNull() | ~F.col("human").isin(*TIERS)), "item"):
+        raise ValueError(f"unrecognised human label on items {odd}")
     model = recorded.select(
         "service_request_id",
         F.col("urgency_label").alias("model"),
         F.col("urgency_score").alias("model_score"),
         F.col("llm_reasoning").alias("model_reasoning"),
     )
-    absent = human.join(model, "service_request_id", "left_anti").select("service_request_id").head(5)
-    if absent:
-        raise LookupError(f"no recorded label for {[r.service_request_id for r in absent]}")
+    if absent := listed(human.join(model, "service_request_id", "left_anti"), "service_request_id"):
+        raise LookupError(f"no recorded label for {absent}")
     return human.join(model, "service_request_id").select(
         "item", "service_request_id", "service_name", "address", "human", "model",
         "model_score", "model_reasoning", F.trim(F.coalesce("notes", F.lit(""))).alias("notes"))

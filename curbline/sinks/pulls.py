@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from curbline import schemas
 from curbline.session import materialise
+from curbline.sources.files import listed
 
 
 class CountMismatch(RuntimeError):
@@ -90,12 +91,10 @@ def portal_pull(
     record = materialise(
         ledger(stamped, good, manifest.withColumn("pull_id", F.lit(pull_id)), failed), "ledger")
     record.write.mode("append").parquet(f"{target}/portal_pulls")
-    broken = failed.orderBy("partition_date").head(10)
-    if broken:
-        raise DuplicateKey(f"repeated sr_number on {[str(r.partition_date) for r in broken]}")
-    off = record.filter(F.col("status") != "verified").orderBy("partition_date").head(10)
-    if off:
-        raise CountMismatch(f"counts disagree on {[str(r.partition_date) for r in off]}")
+    if broken := listed(failed, "partition_date"):
+        raise DuplicateKey(f"repeated sr_number on {broken}")
+    if off := listed(record.filter(F.col("status") != "verified"), "partition_date"):
+        raise CountMismatch(f"counts disagree on {off}")
     return record
 
 

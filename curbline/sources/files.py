@@ -106,6 +106,12 @@ def read_recorded_labels(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def listed(rows: DataFrame, column: str, n: int = 10) -> str:
+    """For an error text: the first values of a column and how many rows there are; "" for none."""
+    first = rows.select(F.col(column).cast("string")).orderBy(column).head(n)
+    return f"{[r[0] for r in first]} ({rows.count()} in all)" if first else ""
+
+
 def read_label_sheet(spark: SparkSession, path: str) -> DataFrame:
     """A filled-in sheet. Raises if any row still has no human label."""
     sheet = (
@@ -113,9 +119,8 @@ def read_label_sheet(spark: SparkSession, path: str) -> DataFrame:
         .option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
         .csv(path)
     )
-    blank = sheet.filter(F.trim(F.coalesce("human_label", F.lit(""))) == "").select("item").head(5)
-    if blank:
-        raise ValueError(f"no human label yet for items {[r.item for r in blank]}")
+    if blank := listed(sheet.filter(F.trim(F.coalesce("human_label", F.lit(""))) == ""), "item"):
+        raise ValueError(f"no human label yet for items {blank}")
     return sheet
 
 
