@@ -21,9 +21,9 @@ LATEST_COLUMNS = (
 
 def verified_versions(portal_requests: DataFrame, portal_pulls: DataFrame) -> DataFrame:
     """Versions of partitions whose counts reconciled; the table is partitioned by the join keys,
-    so the ledger also prunes what is read."""
+    so the ledger also prunes what is read. A day that the ledger names twice counts once."""
     good = portal_pulls.filter(F.col("status") == "verified").select("pull_id", "partition_date")
-    return portal_requests.join(good, ["pull_id", "partition_date"])
+    return portal_requests.join(good, ["pull_id", "partition_date"], "left_semi")
 
 
 def stg_portal_requests(portal_requests: DataFrame, portal_pulls: DataFrame) -> DataFrame:

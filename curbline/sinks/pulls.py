@@ -78,9 +78,11 @@ def portal_pull(
     failed = materialise(duplicate_days(versions), "failed-days")
     good = versions.join(failed, "partition_date", "left_anti")
     # Rebalancing groups a day's rows into few files and lets AQE split a day that is far larger.
+    # A day of this pull that was landed before is replaced, so a repeated pull adds no rows.
     (
         good.hint("rebalance", "partition_date")
-        .write.mode("append").partitionBy("pull_id", "partition_date")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("pull_id", "partition_date")
         .parquet(f"{target}/portal_requests")
     )
     stamped = plan.select(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from curbline import schemas
 from curbline.operators import sampling
+from curbline.plans import extract
 from curbline.sinks import pulls, requests
 from curbline.sources import calendar, files
 from test_extract import lookup, types, version, versions, ledger
@@ -127,6 +128,15 @@ def test_pull_verifies_every_day(spark, tmp_path):
     assert row.created_date == datetime(2026, 3, 10, 10)
 
 
+def test_a_repeated_pull_replaces_its_days(spark, tmp_path):
+    page(tmp_path / "in", DAY, csv_row(1, DAY), csv_row(2, DAY))
+    for name in ("p1", "p1", "p2"):
+        pull(spark, tmp_path / "in", tmp_path / "out", [(2, 2), (0, 0), (0, 0)], name)
+    tables = [read(spark, tmp_path / "out", t) for t in ("portal_requests", "portal_pulls")]
+    assert tables[0].count() == 4
+    assert extract.verified_versions(*tables).count() == 4
+
+
 def test_pull_mismatch_is_recorded_then_raised(spark, tmp_path):
     page(tmp_path / "in", DAY, csv_row(1, DAY))
     page(tmp_path / "in", DAY + timedelta(days=1), csv_row(2, DAY))
