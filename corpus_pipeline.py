@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.llm import decontamination, mixture, ngram_join, token_planes, toxicity
-from curbline.llm.common import bounded
+from curbline.llm.common import bounded, one_per_id
 from curbline.session import materialise
 
 ORACLE_SQL = None
 
+# A word with the blanks before it.
+LEADING_WORD = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
+
 
 def _without(docs: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
     """The documents whose doc_id isn't in ``rejected``."""
@@ -39,11 +42,22 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A document is used once at most, and whole; the budget is four fifths of the tokens that are left."""
-    given = mixture.mix(docs.withColumn("domain", mixture.domain_of_source(F.col("source"))),
-                        mixture.WEIGHTS, total_of=(4, 5), max_epochs=1)
-    chosen = bounded(materialise(given.where("copies > 0").select(F.col("doc_id").alias("chosen")), "mixture"))
-    return docs.join(chosen, F.col("doc_id") == F.col("chosen"), "left_semi")
+    """A document is used once at most; the budget is four fifths of the tokens that are left.
+
+    Every leaf fills its share exactly: the document that the share's end cuts stays with its first ``part``
+    words, so its text ends after them and ``n_chars`` counts what is left. Rows that share a doc_id are one
+    document, with the smallest values, as mix() counts them.
+    """
+    placed = docs.withColumn("domain", mixture.domain_of_source(F.col("source")))
+    placed = one_per_id(placed, "doc_id", "text", *mixture.LEVELS, *[c for c in docs.columns if c not in ("doc_id", "text", *mixture.LEVELS)])
+    given = mixture.mix(placed, mixture.WEIGHTS, total_of=(4, 5), max_epochs=1)
+    chosen = bounded(materialise(given.select(F.col("doc_id").alias("chosen"), F.when(F.col("copies") == 0, F.col("part")).alias("words")), "mixture"))
+    words = F.slice(F.regexp_extract_all("text", F.lit(LEADING_WORD), F.lit(0)), F.lit(1), F.col("words").cast("int"))
+    cut = {"text": F.array_join(words, "")}
+    if "n_chars" in docs.columns:
+        cut["n_chars"] = F.char_length(cut["text"]).cast(docs.schema["n_chars"].dataType)
+    return (placed.join(chosen, F.col("doc_id") == F.col("chosen"))
+            .select([F.when(F.col("words").isNotNull(), cut[c]).otherwise(F.col(c)).alias(c) if c in cut else c for c in docs.columns]))
 
 
 def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

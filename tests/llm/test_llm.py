@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -290,3 +291,24 @@ def test_pipeline(spark):
         docs = after
     got = by_id(corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir))
     assert set(got) == {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_pipeline_mixture_fills_every_share(spark):
+    """One document of a leaf is longer than the leaf's share, another leaf holds one document only."""
+    rows = [(i, f" \tw{i}  {'x ' * (i % 7)}\n", "en", f"src{i % 4}", 0) for i in range(120)]
+    rows += [(500 + k, " ".join(f"long{k}x{n}" for n in range(20_000)), "de", "src2", 0) for k in range(2)] + [(600, "a  b\tc d\u00e9 e f g", "fr", "src2", 0)]
+    table = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, lang string, source string, n_chars long")
+    placed = table.distinct().withColumn("domain", mixture.domain_of_source(table["source"]))
+    leaves = placed.groupBy(*mixture.LEVELS).agg(F.sum(F.size(F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " "))).alias("tokens"), F.count("*").alias("docs"))
+    total = sum(len(t.split()) for _, t, *_ in rows) * 4 // 5
+    share = {(r["domain"], r["lang"], r["source"]): int(r["share"]) for r in mixture.allot(leaves, mixture.WEIGHTS, total, 1).collect()}
+    kept = by_id(corpus_pipeline.mix_sources(spark, table, ""))
+    used, texts, cut = Counter(), {i: t for i, t, *_ in rows}, []
+    for i, r in kept.items():
+        used[f"d{int(r['source'][3:]) % 3}", r["lang"], r["source"]] += len(r["text"].split())
+        if r["text"] != texts[i]:
+            assert texts[i].startswith(r["text"]) and r["n_chars"] == len(r["text"])
+            assert texts[i].split()[: len(r["text"].split())] == r["text"].split()
+            cut.append(i)
+    assert used == Counter(share) and total - 20 <= sum(used.values()) <= total
+    assert {500, 501} & set(cut)
