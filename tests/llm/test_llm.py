@@ -265,6 +265,45 @@ def test_decontamination(spark, docs, none):
     assert decontamination.find_benchmark(none, benchmark).collect() == [] == decontamination.find_benchmark(docs, benchmark.limit(0)).collect()
 
 
+def hits_by_brute_force(texts, items):
+    """(doc_id, item_id): (overlap, answer), every window against every passage by the longest common subsequence alone."""
+    best = {}
+    for i, text in texts.items():
+        words = decontamination.plain_words((text or "").encode())
+        for start in {max(0, g * 32 - 16) for g in range(len(words) // 32 + 1)}:
+            near = words[start: start + 96]
+            for item, passage, answer in items:
+                lengths = [decontamination.longest_common_subsequence(decontamination._masks(x), len(x), near) / len(x) for x in (passage, answer)]
+                if lengths[0] >= 0.75 or lengths[0] >= 0.6 and lengths[1] >= 0.75:
+                    best[i, item] = max(best.get((i, item), (0, 0)), tuple(lengths))
+    return best
+
+
+def test_decontamination_finds_all_that_brute_force_finds(spark):
+    """3,000 items in two blocks; copies and paraphrases at any offset, among common words."""
+    rng = np.random.default_rng(8)
+    common = [f"c{k}" for k in range(60)]
+
+    def prose(n):
+        return [common[int(rng.integers(60))] if rng.random() < 0.45 else f"r{int(rng.zipf(1.3)) % 20_000}" for _ in range(n)]
+
+    items = {i: prose(int(rng.integers(12, 60))) for i in range(3_000)}
+    items |= {0: common[:20], 1: prose(150), 2: ["c1"] * 30, 3: ["lonely"]}
+    texts = {}
+    for i in range(60):
+        item = items[i] if i < 4 else items[int(rng.integers(3_000))]
+        words = [w if i % 2 or rng.random() > 0.3 else f"x{k}" for k, w in enumerate(item[:-8])] + item[-8:]
+        body = prose(int(rng.integers(0, 160)))
+        at = int(rng.integers(len(body) + 1))
+        texts[i] = " ".join(body[:at] + words + body[at:])
+    passages = [(i, [x.encode() for x in w[s: s + 64]], [x.encode() for x in w[-8:]])
+                for i, w in items.items() for s in range(0, max(1, len(w) - 32), 32)]
+    want = hits_by_brute_force(texts, passages)
+    found = decontamination.find_benchmark(spark.createDataFrame(list(texts.items()), "doc_id long, text string"),
+                                           spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): (r["overlap"], r["answer"]) for r in found.collect()} == want and len(want) > 55
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(50):
