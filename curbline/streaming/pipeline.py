@@ -186,12 +186,15 @@ def start_polling(
 
 
 def new_requests(pages: DataFrame, memory: str = "7 days", settings: Settings = DEFAULT) -> DataFrame:
-    """Accepted requests of a page stream, each id once within the memory, counted from arrival."""
-    stamped = pages.select(F.struct("page", "arrived_at").alias("page"), "value")
+    """Accepted requests of a page stream, each id once within the memory, counted from arrival.
+
+    Arrival is the time of the micro-batch that reads the page. A page's own ``arrived_at``, such as a file's
+    modification time, may lie far back and would be taken for a late row, so it isn't used.
+    """
     return (
-        validate.feed_records(stamped, settings=settings)
+        validate.feed_records(pages.select("page", "value"), settings=settings)
         .filter(F.col("reject_reason").isNull())
-        .withColumn("arrived_at", F.col("page.arrived_at"))
+        .withColumn("arrived_at", F.current_timestamp())
         .withWatermark("arrived_at", memory)
         .dropDuplicatesWithinWatermark(["service_request_id"])
         .select(*schemas.REQUEST.fieldNames(), "arrived_at")

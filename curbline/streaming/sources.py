@@ -40,12 +40,16 @@ def file_messages(spark: SparkSession, path: str, max_files: int | None = None)
 
 
 def feed_pages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """New response files of a landing folder, one row each, stamped on arrival."""
-    reader = spark.readStream.option("wholetext", True)
+    """New response files of a landing folder, one row each, stamped with the time of the micro-batch that reads it.
+
+    A file counts as new whatever its modification time; Spark would pass over those a week older than the
+    newest. So the source remembers the name of every file it has read.
+    """
+    reader = spark.readStream.option("wholetext", True).option("maxFileAge", "36500d")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.text(path).select(
         F.col("_metadata.file_path").alias("page"),
-        F.col("_metadata.file_modification_time").alias("arrived_at"),
+        F.current_timestamp().alias("arrived_at"),
         "value",
     )

@@ -1,4 +1,6 @@
 import json
+import os
+import time
 from datetime import datetime, timedelta
 from types import SimpleNamespace
 
@@ -136,6 +138,20 @@ def test_polling_lets_each_id_through_once(spark, tmp_path):
     assert [(r.kind, r.key, r.records) for r in drift] == [("unexpected", "priority", 1)]
 
 
+def test_polling_keeps_pages_with_an_old_modification_time(spark, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    for k, (name, age_days) in enumerate([("A", 0), ("B", 0), ("C", 30), ("A", 30)]):
+        page = landed / f"{k}.json"
+        page.write_text(json.dumps([record(name)]))
+        os.utime(page, (time.time() - age_days * 86_400,) * 2)
+        for q in pipeline.start_polling(
+                sources.feed_pages(spark, str(landed)), str(tmp_path / "out"), str(tmp_path / "drift"),
+                str(tmp_path / "cp"), drain=True):
+            q.awaitTermination()
+    assert sorted(r.service_request_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["A", "B", "C"]
+
+
 def failures(spark, seconds, topic="t"):
     return spark.createDataFrame([(topic, 0, T + timedelta(seconds=s)) for s in seconds],
                                  "topic string, partition int, failed_at timestamp_ntz")
