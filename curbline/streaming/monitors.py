@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +30,10 @@ def windowed_dead_letter_rate(
 
 
 class _TrailingCount(StatefulProcessor):
-    """Per source partition: counts per second of the last window, and the seconds over the limit."""
+    """Per source partition: counts per second, and the seconds over the limit whose window has grown."""
 
-    def __init__(self, window_seconds: int, threshold: int) -> None:
-        self.window_seconds, self.threshold = window_seconds, threshold
+    def __init__(self, window_seconds: int, threshold: int, late_seconds: int) -> None:
+        self.window_seconds, self.threshold, self.late_seconds = window_seconds, threshold, late_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.recent = handle.getMapState("recent", "second long", "n long")
@@ -42,21 +43,25 @@ class _TrailingCount(StatefulProcessor):
         for batch in rows:
             for second, n in batch.groupby("second")["n"].sum().items():
                 fresh[int(second)] = fresh.get(int(second), 0) + int(n)
-        counts = {k[0]: v[0] for k, v in self.recent.iterator()}
+        stored = {k[0]: v[0] for k, v in self.recent.iterator()}
+        counts = dict(stored)
         for second, n in fresh.items():
             counts[second] = counts.get(second, 0) + n
-        series = pd.Series(counts).sort_index()
-        alerts = []
-        for second in sorted(fresh):
-            total = int(series.loc[second - self.window_seconds:second].sum())
-            if total > self.threshold:
-                alerts.append((*key, second, total))
-        horizon = int(series.index.max()) - 2 * self.window_seconds
-        for second, n in counts.items():
+        seconds = np.array(sorted(counts), np.int64)
+        upto = np.concatenate([[0], np.cumsum([counts[s] for s in seconds.tolist()])])
+        totals = upto[1:] - upto[np.searchsorted(seconds, seconds - self.window_seconds)]
+        # A second's window has grown if a fresh second lies in it.
+        new = np.array(sorted(fresh), np.int64)
+        at = np.searchsorted(new, seconds, side="right")
+        grown = (at > 0) & (seconds - new[np.maximum(at - 1, 0)] <= self.window_seconds)
+        alerts = [(*key, int(s), int(n)) for s, n in zip(seconds[grown], totals[grown]) if n > self.threshold]
+        horizon = int(seconds[-1]) - self.window_seconds - self.late_seconds
+        for second in fresh:
             if second >= horizon:
-                self.recent.updateValue((int(second),), (int(n),))
-            elif self.recent.containsKey((int(second),)):
-                self.recent.removeKey((int(second),))
+                self.recent.updateValue((second,), (counts[second],))
+        for second in stored:
+            if second < horizon:
+                self.recent.removeKey((second,))
         yield pd.DataFrame(alerts, columns=["topic", "partition", "second", "messages_in_window"])
 
     def close(self) -> None:
@@ -64,13 +69,15 @@ class _TrailingCount(StatefulProcessor):
 
 
 def exact_dead_letter_alerts(
-    failures: DataFrame, ts: str = "failed_at", settings: Settings = DEFAULT
+    failures: DataFrame, ts: str = "failed_at", settings: Settings = DEFAULT, late_seconds: int = 86_400
 ) -> DataFrame:
     """Seconds with more than the threshold of failures in the trailing window, per source
     partition, as one consumer per partition would count them.
 
-    Needs the RocksDB state store. State is bounded by two windows of seconds per partition. Rows
-    that arrive in several micro-batches may alert for the same second again with a higher count.
+    Needs the RocksDB state store. A second alerts again, with the higher count, whenever failures within its
+    window arrive in a later micro-batch, in whatever order. That is exact for failures up to ``late_seconds``
+    behind the partition's newest; of older ones, only those that come together and what is still stored are
+    counted. State is bounded by the seconds of the window and ``late_seconds`` per partition.
     """
     rows = failures.select(
         "topic", "partition", F.unix_seconds(F.col(ts).cast("timestamp")).alias("second"),
@@ -78,7 +85,8 @@ def exact_dead_letter_alerts(
     return (
         rows.groupBy("topic", "partition")
         .transformWithStateInPandas(
-            statefulProcessor=_TrailingCount(settings.alert_window_seconds, settings.alert_threshold),
+            statefulProcessor=_TrailingCount(
+                settings.alert_window_seconds, settings.alert_threshold, late_seconds),
             outputStructType="topic string, partition int, second long, messages_in_window long",
             outputMode="Update",
             timeMode="None",

@@ -194,6 +194,20 @@ def test_exact_streaming_alerts_over_batches(spark, tmp_path):
     assert got == [(T + timedelta(seconds=300), 6), (T + timedelta(seconds=301), 6)]
 
 
+def test_exact_streaming_alerts_count_late_failures(spark, tmp_path):
+    """Five failures and a late sixth, in the window and after the stream has moved on by more than two windows."""
+    for seconds in [[100, 101, 102, 103, 300], [5000], [99], [0, 98, 5000]]:
+        failures(spark, seconds).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("topic string, partition int, failed_at timestamp_ntz").parquet(str(tmp_path / "in"))
+        q = (monitors.exact_dead_letter_alerts(stream).writeStream.outputMode("update")
+             .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(str(tmp_path / "out" / f"batch={i}")))
+             .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    got = sorted((r.batch, r.alert_at, r.messages_in_window) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(2, T + timedelta(seconds=300), 6), *[
+        (3, T + timedelta(seconds=s), n) for s, n in ((102, 6), (103, 7), (300, 8))]]
+
+
 def test_windowed_alerts_as_a_batch(spark):
     got = monitors.windowed_dead_letter_rate(failures(spark, [0, 1, 2, 3, 4, 5])).collect()
     assert {r.messages_in_window for r in got} == {6} and len(got) == 5
