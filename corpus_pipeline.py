@@ -37,7 +37,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    hits = decontamination.find_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Every text of the benchmark counts, whether or not it has an item_id."""
+    texts = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.xxhash64("text").alias("item_id"), "text")
+    hits = decontamination.find_benchmark(docs, texts)
     return _without(docs, hits, "contaminated")
 
 

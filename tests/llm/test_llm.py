@@ -304,6 +304,19 @@ def test_decontamination_finds_all_that_brute_force_finds(spark):
     assert {(r["doc_id"], r["item_id"]): (r["overlap"], r["answer"]) for r in found.collect()} == want and len(want) > 55
 
 
+def test_decontamination_searches_every_text_of_an_item(spark, tmp_path, monkeypatch):
+    texts = {k: " ".join(f"{k}{n}" for n in range(30)) for k in "abcd"}
+    table = spark.createDataFrame([(i, f"some words {texts[k]} and more") for i, k in enumerate("abcd")], "doc_id long, text string")
+    rows = spark.createDataFrame([(1, texts["a"]), (1, texts["b"]), (2, texts["c"]), (2, texts["c"]), (None, texts["d"])], "item_id long, text string")
+    for size in (2_000, 1):
+        monkeypatch.setattr(decontamination, "BLOCK_ITEMS", size)
+        found = sorted((r["doc_id"], r["item_id"]) for r in decontamination.find_benchmark(table, rows).collect())
+        assert found == [(0, 1), (1, 1), (2, 2)]
+    monkeypatch.setattr(decontamination, "BLOCK_ITEMS", 2_000)
+    rows.write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.drop_benchmark(spark, table, str(tmp_path)).collect() == []
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(50):
