@@ -47,8 +47,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document is used once at most; the budget is four fifths of the tokens that are left.
 
     Every leaf fills its share exactly: the document that the share's end cuts stays with its first ``part``
-    words, so its text ends after them and ``n_chars`` counts what is left. Rows that share a doc_id are one
-    document, with the smallest values, as mix() counts them.
+    words, so its text ends after them and ``n_chars`` counts what is left. Rows that share a doc_id (null is
+    one) are one document, with the smallest values, as mix() counts them.
     """
     placed = docs.withColumn("domain", mixture.domain_of_source(F.col("source")))
     placed = one_per_id(placed, "doc_id", "text", *mixture.LEVELS, *[c for c in docs.columns if c not in ("doc_id", "text", *mixture.LEVELS)])
@@ -58,7 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = {"text": F.array_join(words, "")}
     if "n_chars" in docs.columns:
         cut["n_chars"] = F.char_length(cut["text"]).cast(docs.schema["n_chars"].dataType)
-    return (placed.join(chosen, F.col("doc_id") == F.col("chosen"))
+    return (placed.join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen")))
             .select([F.when(F.col("words").isNotNull(), cut[c]).otherwise(F.col(c)).alias(c) if c in cut else c for c in docs.columns]))
 
 

@@ -364,3 +364,12 @@ def test_pipeline_mixture_fills_every_share(spark):
             cut.append(i)
     assert used == Counter(share) and total - 20 <= sum(used.values()) <= total
     assert {500, 501} & set(cut)
+
+
+def test_pipeline_mixture_keeps_documents_without_an_id(spark):
+    """The budget is 80 of 100 tokens, of which the document without an id has 90: it stays, cut or not."""
+    rows = [(None, " ".join(["n"] * 90), "en", "src2", 179), (None, " ".join(["z"] * 90), "en", "src2", 179), (7, "one two three four five six seven eight nine ten", "en", "src2", 49)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = by_id(corpus_pipeline.mix_sources(spark, table, ""))
+    assert sum(len(r["text"].split()) for r in kept.values()) == 80
+    assert set(kept[None]["text"].split()) == {"n"} and kept[None]["n_chars"] == len(kept[None]["text"])
