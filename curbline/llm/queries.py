@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from curbline.llm import (
-    decontamination, line_dedup, mixture, ngram_join, secrets, substring_dedup, token_counts, token_planes, toxicity,
-    vector_dedup,
+    decontamination, line_dedup, merkle, mixture, ngram_join, personal_data, secrets, substring_dedup, token_counts,
+    token_planes, toxicity, vector_dedup, whitening,
 )
 
 QUERIES = {
@@ -18,9 +18,13 @@ QUERIES = {
     "op8_decontamination": decontamination.query,
     "op9_token_counts": token_counts.query,
     "op10_token_planes": token_planes.query,
+    "op11_whitening": whitening.query,
+    "op12_merkle_manifest": merkle.query,
+    "op13_personal_data": personal_data.query,
 }
 
 ORACLES = {
     "op4_mixture": mixture.SQL,
     "op6_line_dedup": line_dedup.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }
