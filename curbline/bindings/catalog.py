@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline import schemas
-from curbline.bindings import inputs, streams
+from curbline.bindings import inputs, landings, streams
 from curbline.bindings.inputs import REQUEST_SETTINGS, SETTINGS
 from curbline.config import TIERS, Settings
 from curbline.functions import times, values
@@ -449,4 +449,11 @@ QUERIES: dict[str, Query] = {
     "stream_upsert": streams.upserted,
     "stream_dead_letter": streams.dead_lettered,
     "stream_dedup": streams.polled_twice,
+    "pull_landed": landings.landed,
+    "pull_landed_ledger": landings.landed_ledger,
+    "stream_replayed": streams.replayed,
+    "stream_write_errors": streams.write_errors,
+    "stream_progress": streams.progress,
+    "stream_dedup_batches": streams.deduplicated,
+    "stream_rate_alerts": streams.rate_alerts,
 }

@@ -1,28 +1,29 @@
 """Keyed upserts of enriched requests on plain Parquet.
 
-A merge never rewrites what is already stored. It appends the new rows as one more directory, and
-reading collapses the directories to the newest row per id, as the extract models do with pulls.
-The cost of a merge is that of its own rows; a repeated merge id replaces its own directory, so a
-replayed micro-batch changes nothing.
+A merge never rewrites what is already stored. It adds the new rows as one more folder, named after the
+merge's number and id. Merges take numbers in the order in which they first arrive, so no clock decides
+which row is newest; a repeated merge id keeps its number and replaces its own folder, so a replayed
+micro-batch changes nothing. Compaction folds the merges so far into a base with one row per id, and
+readers take the newest complete base and the merges after it.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from urllib.parse import quote, unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbline import schemas
 from curbline.operators.latest import latest_per_key
+from curbline.sinks import paths
 
 KEY = "service_request_id"
-_STORED = T.StructType(
-    schemas.ENRICHED.fields
-    + [T.StructField("_merged_at", schemas.NTZ, True), T.StructField("merge_id", T.StringType(), True)]
-)
+_STORED = T.StructType(schemas.ENRICHED.fields + [T.StructField("_merged_at", schemas.NTZ, True)])
+_BASE = T.StructType(schemas.SERVICE_REQUESTS.fields + [T.StructField("_bucket", T.IntegerType(), True)])
+_FOLDED = T.StructType([T.StructField("merge_id", T.StringType(), True), T.StructField("requests", T.LongType(), True)])
 
 
 def merged(target: DataFrame, source: DataFrame, at, order: list[str] | None = None) -> DataFrame:
@@ -43,45 +44,158 @@ def merged(target: DataFrame, source: DataFrame, at, order: list[str] | None = N
 
 
 class RequestTable:
-    """The raw request table at a path shared by the cluster."""
+    """The raw request table at a path shared by the cluster.
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
+    ``merges/<number>-<id>`` has one merge's newest row per request, ``base/<number>`` the state after that
+    merge and the ids of all merges folded into it. A folder counts once its job has committed, so a reader
+    sees a merge or a compaction whole or not at all.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 16) -> None:
+        self.spark, self.path, self.buckets = spark, path, buckets
 
     def upsert(self, rows: DataFrame, merge_id: str, order: list[str] | None = None,
-               merged_at: datetime | None = None) -> None:
-        """Add one merge. ``merge_id`` names it; the same id again replaces it and keeps its time."""
-        stamp = self._stamp(merge_id) or (
+               merged_at: datetime | None = None) -> int:
+        """Add one merge and return how many requests it has; one without rows leaves no trace.
+
+        ``merge_id`` names it; the same id again replaces it, with its number and time. An id that is folded into
+        the base already changes nothing. Two merges that begin at the same moment may share a number; the id
+        then decides which is newer.
+        """
+        merges, folded = self._merges(), self._folded(merge_id)
+        if folded is not None:
+            return folded
+        earlier = [name for name in merges if _id_of(name) == merge_id]
+        number = _number(earlier[0]) if earlier else 1 + max(
+            [_number(name) for name in merges] + [_number(base) for base in self._bases()], default=0)
+        stamp = self._stamp(earlier[0]) if earlier else (
             merged_at or datetime.now(timezone.utc)).astimezone(timezone.utc).replace(tzinfo=None)
         newest = latest_per_key(rows, [KEY], order or ["classified_at"])
+        folder = f"{self.path}/merges/{number:012d}-{quote(merge_id, safe='')}"
         (
             newest.select(*schemas.ENRICHED.fieldNames(), F.lit(stamp).alias("_merged_at"))
-            .write.mode("overwrite").parquet(f"{self.path}/merge_id={merge_id}")
+            .write.mode("overwrite").parquet(folder)
         )
+        merged = self.spark.read.schema(_STORED).parquet(folder).count()
+        if not merged:
+            paths.remove(self.spark, folder)
+        return merged
 
-    def _stamp(self, merge_id: str) -> datetime | None:
-        """The time of a merge that is stored already."""
-        try:
-            stored = self.spark.read.schema(_STORED).parquet(f"{self.path}/merge_id={merge_id}")
-        except AnalysisException:
+    def _bases(self) -> list[str]:
+        return [b for b in paths.subfolders(self.spark, f"{self.path}/base")
+                if paths.is_complete(self.spark, f"{self.path}/base/{b}/merges")]
+
+    def _merges(self) -> list[str]:
+        """The complete merges that the base doesn't have."""
+        bases = self._bases()
+        after = _number(bases[-1]) if bases else 0
+        return [m for m in paths.subfolders(self.spark, f"{self.path}/merges")
+                if _number(m) > after and paths.is_complete(self.spark, f"{self.path}/merges/{m}")]
+
+    def _folded(self, merge_id: str) -> int | None:
+        """The requests of a merge that the base has, if it has it."""
+        bases = self._bases()
+        if not bases:
             return None
+        known = self.spark.read.schema(_FOLDED).parquet(f"{self.path}/base/{bases[-1]}/merges")
+        row = known.filter(F.col("merge_id") == merge_id).select("requests").head()
+        return row and row[0]
+
+    def _stamp(self, merge: str) -> datetime | None:
+        """The time of a merge that is stored already."""
+        stored = self.spark.read.schema(_STORED).parquet(f"{self.path}/merges/{merge}")
         return stored.agg(F.max("_merged_at")).head()[0]
 
+    def _live(self, merges: list[str]) -> DataFrame:
+        """The rows of merges, with the merge's folder name, which sorts by number."""
+        if not merges:
+            return self.spark.createDataFrame([], _STORED).withColumn("_merge", F.lit(""))
+        rows = self.spark.read.schema(_STORED).parquet(*[f"{self.path}/merges/{m}" for m in merges])
+        return rows.withColumn("_merge", F.regexp_extract("_metadata.file_path", "/merges/([^/]*)/[^/]*$", 1))
+
+    def _base(self, base: str) -> DataFrame:
+        path = f"{self.path}/base/{base}/rows"
+        return self.spark.read.schema(_BASE).option("basePath", path).parquet(path)
+
     def current(self) -> DataFrame:
-        """One row per id: its newest values and the time it was first merged."""
-        stored = self.spark.read.schema(_STORED).option("basePath", self.path).parquet(self.path)
-        rows = stored.withColumn("_inserted_at", F.col("_merged_at"))
-        picked = latest_per_key(
-            rows.drop("_inserted_at"), [KEY], ["_merged_at", "merge_id"],
-            extra=[F.min("_merged_at").alias("_inserted_at")])
-        return picked.select(schemas.SERVICE_REQUESTS.fieldNames())
+        """One row per id: its newest values and the time of the first merge that had it.
+
+        The merges after the base are reduced to one row per id. Only their ids are looked up in the base, whose
+        other rows pass through: with merges that are small beside it, it isn't shuffled.
+        """
+        return self._state(self._bases(), self._merges())
+
+    def _state(self, bases: list[str], merges: list[str]) -> DataFrame:
+        newest = latest_per_key(
+            self._live(merges), [KEY], ["_merge"], extra=[F.min_by("_merged_at", "_merge").alias("_first")])
+        if not bases:
+            return newest.withColumn("_inserted_at", F.col("_first")).select(schemas.SERVICE_REQUESTS.fieldNames())
+        base = self._base(bases[-1])
+        if not merges:
+            return base.select(schemas.SERVICE_REQUESTS.fieldNames())
+        ids = newest.select(KEY)
+        known = base.join(ids, KEY, "left_semi").select(KEY, F.col("_inserted_at").alias("_known"))
+        changed = newest.join(known, KEY, "left").withColumn("_inserted_at", F.coalesce("_known", "_first"))
+        return base.join(ids, KEY, "left_anti").select(schemas.SERVICE_REQUESTS.fieldNames()).unionByName(
+            changed.select(schemas.SERVICE_REQUESTS.fieldNames()))
+
+    def find(self, ids: DataFrame) -> DataFrame:
+        """The rows of the ids in ``ids``. Of the base, only the buckets that they fall into are read."""
+        wanted = ids.select(KEY).distinct().withColumn("_bucket", _bucket(self.buckets))
+        bases, merges = self._bases(), self._merges()
+        if not bases or merges:
+            return self._state(bases, merges).join(wanted.select(KEY), KEY, "left_semi")
+        return self._base(bases[-1]).join(wanted, ["_bucket", KEY], "left_semi").select(schemas.SERVICE_REQUESTS.fieldNames())
+
+    def compact(self) -> bool:
+        """Fold all merges into a new base, if there are any. A reader that began before goes on: what the last
+        base replaced is deleted only by the next compaction."""
+        bases, merges = self._bases(), self._merges()
+        if not merges:
+            return False
+        folder = f"{self.path}/base/{_number(merges[-1]):012d}"
+        self._write_base(self._state(bases, merges), folder)
+        counted = self._live(merges).groupBy("_merge").agg(F.count(F.lit(1)).alias("requests"))
+        counts = {r["_merge"]: r["requests"] for r in counted.collect()}
+        known = self.spark.createDataFrame([(_id_of(m), counts.get(quote(m), counts.get(m, 0))) for m in merges], _FOLDED)
+        if bases:
+            known = known.unionByName(self.spark.read.schema(_FOLDED).parquet(f"{self.path}/base/{bases[-1]}/merges"))
+        # The base counts from here on: its list of merges is written last.
+        known.coalesce(1).write.mode("overwrite").parquet(f"{folder}/merges")
+        for old in bases[:-1]:
+            paths.remove(self.spark, f"{self.path}/base/{old}")
+        for merge in paths.subfolders(self.spark, f"{self.path}/merges"):
+            if bases and _number(merge) <= _number(bases[-1]):
+                paths.remove(self.spark, f"{self.path}/merges/{merge}")
+        return True
+
+    def _write_base(self, rows: DataFrame, folder: str) -> None:
+        rows.withColumn("_bucket", _bucket(self.buckets)).hint("rebalance", "_bucket").write.mode(
+            "overwrite").partitionBy("_bucket").parquet(f"{folder}/rows")
 
     def rewrite_to(self, path: str) -> "RequestTable":
         """A compact copy with one stored row per id, keeping each first-merged time."""
-        now = self.current()
-        first = now.select(*schemas.ENRICHED.fieldNames(), F.col("_inserted_at").alias("_merged_at"))
-        first.write.mode("errorifexists").parquet(f"{path}/merge_id=00000000-compact")
-        return RequestTable(self.spark, path)
+        copy = RequestTable(self.spark, path, self.buckets)
+        if copy._bases() or copy._merges():
+            raise FileExistsError(f"{path} holds a table")
+        self._copy_to(copy)
+        return copy
+
+    def _copy_to(self, copy: "RequestTable") -> None:
+        copy._write_base(self.current(), f"{copy.path}/base/{0:012d}")
+        self.spark.createDataFrame([], _FOLDED).write.parquet(f"{copy.path}/base/{0:012d}/merges")
+
+
+def _number(folder: str) -> int:
+    return int(folder[:12])
+
+
+def _id_of(folder: str) -> str:
+    return unquote(folder[13:])
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
 
 
 def upsert_with_catalog(rows: DataFrame, table: str, order: list[str] | None = None) -> None:

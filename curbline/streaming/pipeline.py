@@ -15,7 +15,7 @@ from curbline.config import DEFAULT, Settings
 from curbline.operators import validate
 from curbline.operators.classify import classify
 from curbline.operators.latest import latest_per_key
-from curbline.sinks.requests import RequestTable, dead_letters
+from curbline.sinks.requests import KEY, RequestTable, dead_letters
 
 Labeller = Callable[[DataFrame], DataFrame]
 
@@ -65,6 +65,76 @@ def label_parsed(parsed: DataFrame, label: Labeller) -> DataFrame:
     }).drop("parse_error", "parse_message")
 
 
+Writer = Callable[[RequestTable, DataFrame, str], object]
+
+
+def write_or_isolate(write: Writer, table: RequestTable, rows: DataFrame, merge_id: str, most: int = 2_000) -> DataFrame | None:
+    """Write ``rows`` and return those that the table refuses, with ``error_type`` and ``error_message``; None if none.
+
+    When the whole fails, its requests are halved by a hash of their id, again and again, until what fails is a
+    single request; of its messages the newest is refused and the others are tried without it. All messages of one
+    request stay in one part, so that the newest of them still wins. This takes about 2 log2(n) writes for each
+    request refused; after ``most`` writes the batch fails.
+
+    If nothing at all can be written although there are several requests, the fault is the table's and not theirs:
+    the error is raised, and the stream stops without having moved past the batch. That shows after eight parts.
+    """
+    parts, alone, refused, written, tries = [(1, 0)], [], [], False, 0
+    hashed = F.xxhash64(KEY)
+
+    def attempt(some: DataFrame, name: str) -> Exception | None:
+        nonlocal written, tries
+        tries += 1
+        try:
+            write(table, some, name)
+            written = True
+            return None
+        except Exception as exc:  # whatever a sink raises
+            if tries >= most:
+                raise
+            return exc
+
+    while parts:
+        failing = []
+        for modulus, rest in parts:
+            some = rows if modulus == 1 else rows.filter(F.pmod(hashed, F.lit(modulus)) == rest)
+            if (exc := attempt(some, merge_id if modulus == 1 else f"{merge_id}-{modulus}-{rest}")) is not None:
+                failing.append((modulus, rest, exc))
+        if not failing:
+            break
+        if not written and len(parts) >= 8:
+            raise failing[0][2]
+        # Requests in each half of the parts that failed: two rows for each.
+        modulus = 2 * failing[0][0]
+        sizes = {r["part"]: r["requests"] for r in rows.groupBy(F.pmod(hashed, F.lit(modulus)).alias("part")).agg(
+            F.count_distinct(KEY).alias("requests")).filter(
+                F.col("part").isin([h for _, rest, _ in failing for h in (rest, rest + modulus // 2)])).collect()}
+        parts = []
+        for half, rest, exc in failing:
+            inside = [(modulus, h) for h in (rest, rest + half) if h in sizes]
+            if sum(sizes[h] for _, h in inside) <= 1:
+                alone.append((half, rest, exc))
+            else:
+                parts += inside
+    if not alone:
+        return None
+    if not written and len(alone) > 1:
+        raise alone[0][2]
+    for modulus, rest, exc in alone:
+        some = rows.filter(F.pmod(hashed, F.lit(modulus)) == rest)
+        while exc is not None:
+            newest = some.agg(F.max(F.struct("offset", "partition", "topic"))).head()[0]
+            refused.append((newest["topic"], newest["partition"], newest["offset"], type(exc).__name__, f"warehouse_write_error: {exc}"))
+            at = F.col("offset") == newest["offset"]
+            some = some.filter((F.col("offset") < newest["offset"]) | (at & (F.col("partition") < newest["partition"])))
+            if some.isEmpty():
+                break
+            exc = attempt(some, f"{merge_id}-{modulus}-{rest}-{newest['offset']}")
+    reasons = rows.sparkSession.createDataFrame(
+        refused, "topic string, partition int, offset long, error_type string, error_message string")
+    return rows.drop("error_type", "error_message").join(F.broadcast(reasons), ["topic", "partition", "offset"])
+
+
 def start_enrichment(
     messages: DataFrame,
     label: Labeller,
@@ -74,14 +144,17 @@ def start_enrichment(
     settings: Settings = DEFAULT,
     drain: bool = False,
     name: str = "enrichment",
-    write: Callable[[RequestTable, DataFrame, str], None] | None = None,
+    write: Writer | None = None,
     on_batch: Callable[[dict], None] | None = None,
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """Run until stopped, or with ``drain`` until the source is exhausted.
 
-    Both outputs are directories named after the query's lasting id and the micro-batch, so a batch
-    replayed after a failure overwrites its own rows and no other query's. If the write of the good rows fails, they are dead-lettered with the
-    reason and the query goes on. ``on_batch`` receives each batch's processed and failed counts.
+    Both outputs are folders named after the query's lasting id and the micro-batch, so a batch
+    replayed after a failure overwrites its own rows and no other query's. Rows that the request table refuses
+    are dead-lettered with the reason and the others are written; if it refuses everything, the batch fails
+    (:func:`write_or_isolate`). Every ``compact_every`` batches the table is compacted. ``on_batch`` receives each
+    batch's processed and failed counts.
     """
     write = write or (lambda table, rows, merge_id: table.upsert(rows, merge_id, ["offset", "partition"]))
 
@@ -89,27 +162,28 @@ def start_enrichment(
         spark = batch.sparkSession
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         merge_id = f"{name}-{query_id}-{batch_id:012d}"
+        table = RequestTable(spark, requests_path)
         parsed = validate.parse_messages(spread(batch), settings).persist(StorageLevel.MEMORY_AND_DISK)
         rows = label_parsed(parsed, label).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             failed = F.col("error_type").isNotNull()
             counts = rows.agg(F.count_if(~failed).alias("good"), F.count_if(failed).alias("bad")).head()
-            bad = rows.filter(failed)
-            if counts["good"]:
-                good = rows.filter(~failed)
-                try:
-                    write(RequestTable(spark, requests_path), good, merge_id)
-                except Exception as exc:  # any sink failure must not block the stream
-                    bad = bad.unionByName(good.withColumns({
-                        "error_type": F.lit(type(exc).__name__),
-                        "error_message": F.lit(f"warehouse_write_error: {exc}")}))
-                    counts = {"good": 0, "bad": counts["bad"] + counts["good"]}
-            if counts["bad"]:
-                dead_letters(bad).withColumn(
+            good, bad = counts["good"], counts["bad"]
+            lost = rows.filter(failed)
+            if good:
+                refused = write_or_isolate(write, table, rows.filter(~failed), merge_id)
+                if refused is not None:
+                    lost = lost.unionByName(refused)
+                    more = refused.count()
+                    good, bad = good - more, bad + more
+            if bad:
+                dead_letters(lost).withColumn(
                     "failed_at", F.current_timestamp().cast("timestamp_ntz")
                 ).write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={merge_id}")
+            if good and (batch_id + 1) % compact_every == 0:
+                table.compact()
             if on_batch is not None:
-                on_batch({"batch_id": batch_id, "processed": counts["good"], "failed": counts["bad"]})
+                on_batch({"batch_id": batch_id, "processed": good, "failed": bad})
         finally:
             rows.unpersist()
             parsed.unpersist()
