@@ -15,6 +15,10 @@ from curbline.sinks import paths
 from curbline.sources.files import listed
 
 
+# Rows of a day beyond which it is written as several files.
+ROWS_PER_FILE = 2_000_000
+
+
 class CountMismatch(RuntimeError):
     """A day landed a different number of rows than its source reported."""
 
@@ -158,10 +162,15 @@ def _replace(rows: DataFrame, path: str, *by: str) -> None:
 def swap_days(spark: SparkSession, target: str, pull_id: str, rows: DataFrame, days: DataFrame) -> None:
     """Let a pull's planned ``days`` hold ``rows`` and nothing else.
 
-    Rebalancing groups a day's rows into few files and lets AQE split a day that is far larger. Days
-    without rows aren't reached by overwriting; the folders of what they held are deleted.
+    A day is one file, or as many as its rows need, and the files are dealt over all tasks: many small days
+    don't queue up in one, and a day that is far larger isn't left to one. Days without rows aren't reached
+    by overwriting; the folders of what they held are deleted.
     """
-    _replace(rows.hint("rebalance", "partition_date"), f"{target}/portal_requests", "pull_id", "partition_date")
+    sizes = rows.groupBy("partition_date").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).alias("_files"))
+    piece = F.pmod(F.xxhash64("sr_number"), F.col("_files")).alias("_piece")
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.join(sizes, "partition_date").select(*rows.columns, piece).repartition(tasks, "partition_date", "_piece")
+    _replace(dealt.drop("_piece"), f"{target}/portal_requests", "pull_id", "partition_date")
     emptied = days.select("partition_date").join(rows.select("partition_date"), "partition_date", "left_anti")
     if not paths.subfolders(spark, f"{target}/portal_requests"):
         return

@@ -197,3 +197,128 @@ def test_classify_pending_does_what_is_left(spark, tmp_path):
     rules["label"] = F.lit("Medium")
     assert classify_pending(t, "m4", "rules", limit=5, sample_seed=1, **rules) == {"classified": 1, "failed": 0}
     assert state(t.current())["b"][0] == "Medium"
+
+
+def landed(spark, target):
+    """Versions per day, and the ledger per day."""
+    rows, ledger_rows = pulls.landed_requests(spark, str(target)), pulls.landed_ledger(spark, str(target))
+    days = {}
+    for r in rows.collect():
+        days.setdefault((r.pull_id, r.partition_date.day), []).append(r.sr_number)
+    found = ledger_rows.collect()
+    states = {(r.pull_id, r.partition_date.day): (r.status, r.expected_count, r.landed_count) for r in found}
+    assert len(states) == len(found)
+    taken = sorted(r.sr_number for r in extract.verified_versions(rows, ledger_rows).collect())
+    return {k: sorted(v) for k, v in days.items()}, states, taken
+
+
+def test_a_repeated_pull_empties_and_downgrades_days(spark, tmp_path):
+    """Under an id of digits, and one that file systems escape, beside a pull that stays as it is."""
+    two = DAY + timedelta(days=1)
+    page(tmp_path / "one", DAY, csv_row(1, DAY), csv_row(2, DAY))
+    page(tmp_path / "one", two, csv_row(3, DAY))
+    page(tmp_path / "two", DAY, csv_row(1, DAY))
+    pull(spark, tmp_path / "one", tmp_path / "out", [(2, 2), (1, 1), (0, 0)], "other")
+    for name in ("20260310", "a:b c"):
+        pull(spark, tmp_path / "one", tmp_path / "out", [(2, 2), (1, 1), (0, 0)], name)
+        with pytest.raises(pulls.CountMismatch, match="2026-03-10"):
+            pull(spark, tmp_path / "two", tmp_path / "out", [(2, 2), (0, 0), (0, 0)], name)
+        days, states, taken = landed(spark, tmp_path / "out")
+        assert {k: v for k, v in days.items() if k[0] == name} == {(name, 10): ["SR1"]}
+        assert {k[1]: v for k, v in states.items() if k[0] == name} == {
+            10: ("count_mismatch", 2, 1), 11: ("verified", 0, 0), 12: ("verified", 0, 0)}
+        assert taken == ["SR1", "SR2", "SR3"]
+    assert days[("other", 10)] == ["SR1", "SR2"] and states[("other", 11)] == ("verified", 1, 1)
+    pull(spark, tmp_path / "one", tmp_path / "out", [(2, 2), (1, 1), (0, 0)], "a:b c")
+    assert landed(spark, tmp_path / "out")[2] == sorted(["SR1", "SR2", "SR3"] * 2)
+
+
+def test_a_failed_day_loses_its_rows_and_has_no_counts(spark, tmp_path):
+    page(tmp_path / "one", DAY, csv_row(1, DAY))
+    page(tmp_path / "two", DAY, csv_row(1, DAY), csv_row(1, DAY))
+    pull(spark, tmp_path / "one", tmp_path / "out", [(1, 1), (0, 0), (0, 0)])
+    with pytest.raises(pulls.DuplicateKey):
+        pull(spark, tmp_path / "two", tmp_path / "out", [(2, 2), (0, 0), (0, 0)])
+    days, states, taken = landed(spark, tmp_path / "out")
+    assert days == {} and taken == [] and states[("p1", 10)] == ("failed", None, None)
+
+
+def test_a_source_that_breaks_leaves_failed_days(spark, tmp_path):
+    page(tmp_path / "one", DAY, csv_row(1, DAY))
+    pull(spark, tmp_path / "one", tmp_path / "out", [(1, 1), (0, 0), (0, 0)])
+    plan = calendar.partition_plan(spark, start=DAY, end=DAY, label="t")
+    broken = files.portal_days(spark, str(tmp_path / "one")).withColumn("sr_type", F.raise_error(F.lit("gone")).cast("string"))
+    manifest = spark.createDataFrame([(DAY, 1, 1)], "partition_date date, expected_count long, expected_count_after long")
+    with pytest.raises(Exception, match="gone"):
+        pulls.portal_pull(spark, broken, plan, manifest, str(tmp_path / "out"), "p1", T0)
+    days, states, taken = landed(spark, tmp_path / "out")
+    assert states[("p1", 10)] == ("failed", None, None) and states[("p1", 11)] == ("verified", 0, 0) and taken == []
+
+
+def test_lookup_upsert_takes_the_latest_of_repeated_new_rows(spark, rows):
+    old = lookup(spark, ("a", False, None, None))
+    new = lookup(spark, ("b", True, "x", None), ("b", False, None, None)).withColumn(
+        "looked_up_at", F.when(F.col("found"), F.lit(T0 + timedelta(days=1))).otherwise(F.lit(T0)))
+    assert rows(pulls.upsert_parent_lookup(old, new), "sr_number", "found") == [("a", False), ("b", True)]
+
+
+def test_merges_are_ordered_by_arrival_not_by_clock(spark, tmp_path):
+    t = requests.RequestTable(spark, str(tmp_path / "t"))
+    ahead, behind = datetime(2040, 1, 1, tzinfo=timezone.utc), datetime(1999, 1, 1, tzinfo=timezone.utc)
+    assert t.upsert(enriched(spark, request("a"), request("b"), request("b")), "first/1", merged_at=ahead) == 2
+    assert t.upsert(enriched(spark, request("a", urgency_label="Low")), "second", merged_at=behind) == 1
+    assert t.upsert(enriched(spark), "nothing") == 0
+    want = {"a": ("Low", datetime(2040, 1, 1)), "b": ("High", datetime(2040, 1, 1))}
+    assert state(t.current()) == want
+    assert t.upsert(enriched(spark, request("a"), request("b")), "first/1", merged_at=behind) == 2
+    assert state(t.current()) == want and len(t._merges()) == 2
+
+
+def test_compaction_keeps_the_state_and_remembers_merges(spark, tmp_path):
+    path = str(tmp_path / "t")
+    t = requests.RequestTable(spark, path, buckets=4)
+    one = datetime(2026, 6, 1, tzinfo=timezone.utc)
+    assert t.current().collect() == [] and not t.compact()
+    for k in range(5):
+        t.upsert(enriched(spark, request("same", urgency_label=["Low", "High"][k % 2]), request(f"r{k}")), f"m{k}", merged_at=one + timedelta(days=k))
+    before = sorted(t.current().collect())
+    assert t.compact() and not t.compact()
+    assert sorted(t.current().collect()) == before and t._merges() == []
+    # a merge that is folded already comes again; a new one wins over the base and keeps the first time
+    assert t.upsert(enriched(spark, request("same", urgency_label="Critical"), request("r1")), "m1") == 2
+    assert sorted(t.current().collect()) == before
+    t.upsert(enriched(spark, request("same", urgency_label="Critical"), request("new")), "m9", merged_at=one + timedelta(days=9))
+    after = state(t.current())
+    assert after["same"] == ("Critical", datetime(2026, 6, 1)) and after["new"] == ("High", datetime(2026, 6, 10)) and len(after) == 7
+    ids = spark.createDataFrame([("same",), ("r2",), ("absent",)], "service_request_id string")
+    assert set(state(t.find(ids))) == {"same", "r2"}
+    assert t.compact()
+    assert state(t.current()) == after and set(state(t.find(ids))) == {"same", "r2"}
+    # what the first base replaced is gone now, and one file per bucket at most is read
+    assert len(list((tmp_path / "t" / "merges").iterdir())) == 1 and len(list((tmp_path / "t" / "base").iterdir())) == 2
+    assert len(t.current().inputFiles()) <= 4
+    assert t.upsert(enriched(spark, request("r1", urgency_label="Low")), "m0") == 2
+    assert state(t.current()) == after
+
+
+def test_an_unfinished_merge_or_base_does_not_count(spark, tmp_path):
+    t = requests.RequestTable(spark, str(tmp_path / "t"))
+    t.upsert(enriched(spark, request("a")), "m1")
+    t.upsert(enriched(spark, request("a", urgency_label="Low")), "m2")
+    folder = next(p for p in (tmp_path / "t" / "merges").iterdir() if p.name.endswith("m2"))
+    (folder / "_SUCCESS").unlink()
+    assert state(t.current())["a"][0] == "High"
+    t.compact()
+    (tmp_path / "t" / "base" / "000000000001" / "merges" / "_SUCCESS").unlink()
+    assert state(t.current())["a"][0] == "High" and len(t._merges()) == 1
+
+
+def test_reading_does_not_shuffle_the_base(spark, tmp_path):
+    t = requests.RequestTable(spark, str(tmp_path / "t"))
+    t.upsert(enriched(spark, *[request(f"r{k}") for k in range(50)]), "m1")
+    t.compact()
+    t.upsert(enriched(spark, request("r1", urgency_label="Low")), "m2")
+    now = t.current()
+    assert now.count() == 50
+    plan = now._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "LeftAnti, BuildRight" in plan and "SortMergeJoin" not in plan

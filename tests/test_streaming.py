@@ -246,3 +246,56 @@ def test_labels_for_a_batch(spark, max_ids):
                      request("A", urgency_label="High", classified_at=T0 + timedelta(hours=1)))
     got = pipeline.labels_for(rows, recorded, max_ids)
     assert [(r.service_request_id, r.urgency_label) for r in got.collect()] == [("A", "High")]
+
+
+def refusing(*names, always=False):
+    calls = []
+
+    def write(table, rows, merge_id):
+        calls.append(merge_id)
+        if always or rows.filter(F.col("service_request_id").isin(*names) & (F.col("status") != "closed")).count():
+            raise OSError("refused")
+        table.upsert(rows, merge_id, ["offset", "partition"])
+    return write, calls
+
+
+def test_only_the_refused_rows_are_dead_lettered(spark, tmp_path):
+    ids = [f"A{k}" for k in range(20)]
+    bodies = [body(service_request_id=i, status="closed" if i == "A3" else "open") for i in ids]
+    # the newest message of A3 is refused, the one before it is not
+    bodies += [body(service_request_id="A3", status="closed"), body(service_request_id="A3", status="open"), b"{cut"]
+    put(spark, tmp_path / "in", *bodies)
+    write, calls = refusing("A3", "A11")
+    counts = []
+    run(spark, tmp_path, labels(spark, **{i: "High" for i in ids}), write=write, on_batch=counts.append)
+    lost = dead(spark, tmp_path)
+    assert {k: r.exception_type for k, r in lost.items()} == {11: "OSError", 21: "OSError", 22: "message_parse_error"}
+    assert lost[21].exception_message == "warehouse_write_error: refused"
+    assert set(stored(spark, tmp_path)) == set(ids) - {"A11"}
+    current = RequestTable(spark, str(tmp_path / "requests")).current()
+    assert current.filter("service_request_id = 'A3'").head().status == "closed"
+    assert counts == [{"batch_id": 0, "processed": 20, "failed": 3}] and len(calls) < 40
+
+
+@pytest.mark.parametrize("n", [2, 40])
+def test_a_table_that_refuses_everything_stops_the_stream(spark, tmp_path, n):
+    ids = [f"A{k}" for k in range(n)]
+    put(spark, tmp_path / "in", *[body(service_request_id=i) for i in ids], b"{cut")
+    recorded = labels(spark, **{i: "High" for i in ids})
+    write, calls = refusing(always=True)
+    with pytest.raises(Exception, match="refused"):
+        run(spark, tmp_path, recorded, write=write)
+    assert not (tmp_path / "dead").exists() and not list((tmp_path / "cp" / "commits").glob("[0-9]*")) and len(calls) <= 15
+    # once the table is back, the same batch goes through whole
+    run(spark, tmp_path, recorded)
+    assert set(stored(spark, tmp_path)) == set(ids) and set(dead(spark, tmp_path)) == {n}
+
+
+def test_compaction_while_streaming(spark, tmp_path):
+    recorded = labels(spark, A="High", B="Low", C="High", D="Low")
+    for k, name in enumerate("ABCDA"):
+        put(spark, tmp_path / "in", body(service_request_id=name), start=k)
+        run(spark, tmp_path, recorded, compact_every=2)
+    t = RequestTable(spark, str(tmp_path / "requests"))
+    assert stored(spark, tmp_path) == {"A": "High", "B": "Low", "C": "High", "D": "Low"}
+    assert len(t._merges()) == 1 and len(t._bases()) == 2
