@@ -378,6 +378,26 @@ def _build_report(spark: SparkSession, d: str) -> DataFrame:
     return build(spark, _sources(spark, d), SETTINGS, models).report(spark)
 
 
+RAISING, FAILING, RAISING_CHECK = (
+    "dim_request_category", ("fct_portal_sla_monthly", "monthly_is_empty"), ("fct_portal_volume_monthly", "volume_raises"))
+
+
+def _build_report_failed(spark: SparkSession, d: str) -> DataFrame:
+    """The same build with a model that raises, a check that every row breaks, and a check that raises."""
+    from curbline.plans.build import project
+
+    def refuse(tables: dict[str, DataFrame]) -> DataFrame:
+        raise RuntimeError("not today")
+
+    models = {m.name: m for m in project(SETTINGS)}
+    for m in models.values():
+        m.warn_only = frozenset((*m.row_checks, *m.checks))
+    models[RAISING].make = refuse
+    models[FAILING[0]].row_checks[FAILING[1]] = F.lit(True)
+    models[RAISING_CHECK[0]].checks[RAISING_CHECK[1]] = refuse
+    return build(spark, _sources(spark, d), SETTINGS, list(models.values())).report(spark)
+
+
 QUERIES: dict[str, Query] = {
     "fiscal_calendar": _fiscal_calendar,
     "partition_plan": _partition_plan,
@@ -446,6 +466,7 @@ QUERIES: dict[str, Query] = {
     "dq_backlog_flow": lambda s, d: quality.backlog_breaks(_backlog(s, d)),
     "dq_close_before_create": lambda s, d: quality.closed_before_created(_stg(s, d)),
     "build_report": _build_report,
+    "build_report_failed": _build_report_failed,
     "stream_upsert": streams.upserted,
     "stream_dead_letter": streams.dead_lettered,
     "stream_dedup": streams.polled_twice,

@@ -189,7 +189,7 @@ from (
                 else ',"requested_datetime":"'
                      || replace(cast(date_trunc('second', ts) as string), ' ', 'T')
                      || case when event_id % 20 = 15 then '-05:00"' else 'Z"' end end
-        || ',"updated_datetime":"2026-09-23T15:01:28Z","address":"1 Main St"'
+        || ',"updated_datetime":"2026-02-11T04:30:00Z","address":"1 Main St"'
         || ',"lat":' || case when event_id % 20 = 8 then '"north-ish"'
                              when event_id % 20 = 14 then '""' else '41.5' end
         || case when event_id % 20 = 3 then ',"lng":-87.5'
@@ -197,7 +197,7 @@ from (
                 else ',"long":"-87.5"' end
         || ',"token":"t"'
         || case when event_id % 20 = 4 then ',"priority":"HIGH"'
-                when event_id % 20 = 10 then ',"media_url":"https://x/y.jpg"' else '' end
+                when event_id % 20 = 10 then ',"media_url":"https://files.test/1.png"' else '' end
         || '}' as record
     from events
 ) r

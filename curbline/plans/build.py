@@ -135,8 +135,12 @@ def _closes_early() -> Column:
 
 @dataclass
 class BuildResult:
+    """``outcome`` has (node, kind, severity, violations, status) of every model and check, ``errors`` what
+    those with status ``error`` raised."""
+
     tables: Tables
     outcome: list[tuple[str, str, str, int | None, str]]
+    errors: dict[str, Exception] = field(default_factory=dict)
 
     @property
     def ok(self) -> bool:
@@ -160,30 +164,43 @@ def build(
 ) -> BuildResult:
     """Build models over ``sources``; with a ``database``, also publish the shared ones as tables.
 
-    A model is skipped, with its checks, when one it reads was skipped or failed an error-level
-    check. Models that wait for nothing more are built side by side, so that the cluster is not left
+    A model is skipped, with its checks, when one it reads was skipped, raised, or failed an error-level
+    check, or when an error-level check of it raised; a model that raises has its own checks skipped. The build goes
+    on with everything else and reports what was raised. Models that wait for nothing more are built side by side, so that the cluster is not left
     to one small job at a time; ``threads`` bounds how many.
     """
     order = models or project(settings)
     tables: Tables = dict(sources)
     notes: dict[str, list[tuple[str, str, str, int | None, str]]] = {}
     blocked: set[str] = set()
+    errors: dict[str, Exception] = {}
+
+    def severity(model: Model, check: str) -> str:
+        return "warn" if check in model.warn_only else "error"
+
+    def give_up(model: Model, status: str) -> None:
+        blocked.add(model.name)
+        made = [] if model.make is None else [(model.name, "model", "error", None, status)]
+        notes[model.name] = made + [
+            (name, "check", severity(model, name), None, "skipped") for name in (*model.row_checks, *model.checks)]
 
     def finish(model: Model) -> None:
         out: list[tuple[str, str, str, int | None, str]] = []
         if model.make is not None:
-            made = model.make(tables)
-            tables[model.name] = materialise(made, model.name) if model.shared else made
-            if database is not None and model.shared:
-                tables[model.name].write.mode("overwrite").saveAsTable(f"{database}.{model.name}")
-            elif database is not None:
-                tables[model.name].createOrReplaceTempView(model.name)
+            try:
+                tables[model.name] = _made(model, tables, database)
+            except Exception as exc:  # whatever a model's plan or job raises
+                errors[model.name] = exc
+                return give_up(model, "error")
             out.append((model.name, "model", "error", None, "built"))
-        for name, violations in _run_checks(model, tables).items():
-            warn = name in model.warn_only
-            status = "pass" if violations == 0 else "warn" if warn else "fail"
-            out.append((name, "check", "warn" if warn else "error", violations, status))
-            if status == "fail":
+        for name, found in _run_checks(model, tables).items():
+            level = severity(model, name)
+            if isinstance(found, Exception):
+                errors[name] = found
+                out.append((name, "check", level, None, "error"))
+            else:
+                out.append((name, "check", level, found, "pass" if found == 0 else "warn" if level == "warn" else "fail"))
+            if level == "error" and out[-1][-1] in ("fail", "error"):
                 blocked.add(model.name)
         notes[model.name] = out
 
@@ -196,32 +213,51 @@ def build(
             for model in ready:
                 waiting.remove(model)
                 if blocked.intersection(model.reads):
-                    blocked.add(model.name)
-                    notes[model.name] = [(model.name, "model", "error", None, "skipped")] + [
-                        (name, "check", "error", None, "skipped")
-                        for name in (*model.row_checks, *model.checks)]
+                    give_up(model, "skipped")
                 else:
                     running[pool.submit(run, model)] = model.name
             if running:
                 for done in wait(running, return_when=FIRST_COMPLETED).done:
                     running.pop(done)
                     done.result()
-    return BuildResult(tables, [note for m in order for note in notes[m.name]])
-
-
-def _run_checks(model: Model, tables: Tables) -> dict[str, int]:
-    """Violations per check. The row predicates of a model are counted in one pass; its other checks
-    are jobs of their own, submitted together."""
-    def predicates() -> dict[str, int]:
-        counts = quality.count_bad_rows(tables[model.name], model.row_checks).head()
+    return BuildResult(tables, [note for m in order for note in notes[m.name]], errors)
+
+
+def _made(model: Model, tables: Tables, database: str | None) -> DataFrame:
+    """A model's table. A shared one is written once: as the published table, or else among the intermediates."""
+    made = model.make(tables)
+    if not model.shared:
+        if database is not None:
+            made.createOrReplaceTempView(model.name)
+        return made
+    if database is None:
+        return materialise(made, model.name)
+    made.write.mode("overwrite").saveAsTable(f"{database}.{model.name}")
+    return made.sparkSession.table(f"{database}.{model.name}")
+
+
+def _run_checks(model: Model, tables: Tables) -> dict[str, int | Exception]:
+    """Violations per check, or what it raised. The row predicates of a model are counted in one pass; its other
+    checks are jobs of their own, submitted together."""
+    def predicates() -> dict[str, int | Exception]:
+        try:
+            counts = quality.count_bad_rows(tables[model.name], model.row_checks).head()
+        except Exception as exc:
+            return dict.fromkeys(model.row_checks, exc)
         return {name: counts[name] for name in model.row_checks}
 
-    jobs: list[Callable[[], dict[str, int]]] = [predicates] if model.row_checks else []
+    def single(name: str, violating: Callable[[Tables], DataFrame]) -> dict[str, int | Exception]:
+        try:
+            return {name: violating(tables).count()}
+        except Exception as exc:
+            return {name: exc}
+
+    jobs: list[Callable[[], dict[str, int | Exception]]] = [predicates] if model.row_checks else []
     for name, violating in model.checks.items():
-        jobs.append(lambda name=name, violating=violating: {name: violating(tables).count()})
+        jobs.append(lambda name=name, violating=violating: single(name, violating))
     if not jobs:
         return {}
-    found: dict[str, int] = {}
+    found: dict[str, int | Exception] = {}
     with ThreadPoolExecutor(len(jobs)) as pool:
         run = inheritable_thread_target(tables[model.name].sparkSession)(lambda job: job())
         for part in pool.map(run, jobs):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curbline.config import UNKNOWN
 from curbline.functions import values
+from curbline.operators.ordered import weighted_median
 from curbline.operators.sampling import every_nth_and_last
 
 _BY_FY = ("created_requests", "excluded_requests", "met", "missed", "pending",
@@ -96,7 +97,8 @@ def backlog_city(weekly: DataFrame, every: int = 4) -> DataFrame:
 def label_drift(requests: DataFrame, prompt_version: str | None = None) -> DataFrame:
     """Per service code and month: label mix, median and lowest score of rated requests.
 
-    Requests are counted per distinct score first; the exact median then weighs those counts.
+    Requests are counted per distinct score first. The exact median is found by running sums of those
+    counts, so neither a task nor a value map holds a group with very many scores.
     """
     rated = requests.filter(F.col("urgency_label") != UNKNOWN)
     if prompt_version is not None:
@@ -112,7 +114,10 @@ def label_drift(requests: DataFrame, prompt_version: str | None = None) -> DataF
             .alias(f"{t.lower()}_share")
             for t in ("Critical", "High", "Medium", "Low")
         ],
-        F.percentile("urgency_score", 0.5, F.col("n")).alias("median_score"),
         F.min("urgency_score").alias("min_score"),
     )
-    return mix
+    median = weighted_median(counts, ["service_code", "month"], "urgency_score", "n", "label-drift").select(
+        F.col("service_code").alias("_code"), F.col("month").alias("_month"), F.col("median").alias("median_score"))
+    same = F.col("service_code").eqNullSafe(F.col("_code")) & F.col("month").eqNullSafe(F.col("_month"))
+    return mix.join(median, same, "left").select(
+        *[c for c in mix.columns if c != "min_score"], "median_score", "min_score")

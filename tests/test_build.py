@@ -112,3 +112,22 @@ def test_tripwire_limit(spark, bad, fails):
     rows = [request(f"r{i}", raw_payload='{}' if i < bad else '{"updated_datetime":"2026-05-21T00:00:00Z"}') for i in range(100)]
     assert (quality.closed_without_close_time(table(spark, *rows)).count() == 1) is fails
     assert quality.closed_without_close_time(table(spark, request("o", status="open", raw_payload="{}"))).count() == 0
+
+
+def test_a_model_that_raises_stops_only_what_depends_on_it(spark):
+    models = {m.name: m for m in project(CONF)}
+
+    def refuse(tables):
+        raise RuntimeError("not today")
+
+    models["dim_request_category"].make = refuse
+    models["fct_portal_volume_monthly"].checks["raises"] = refuse
+    models["fct_portal_backlog_weekly"].row_checks["breaks"] = F.col("absent") > 1
+    result = build(spark, sources(spark), CONF, list(models.values()))
+    assert not result.ok
+    assert str(result.errors["dim_request_category"]) == "not today" and set(result.errors) >= {"raises", "breaks"}
+    by_node = {n: (s, v) for n, _, _, v, s in result.outcome}
+    assert by_node["dim_request_category"] == ("error", None) and by_node["raises"] == ("error", None)
+    assert {n for n, (s, _) in by_node.items() if s == "skipped"} == DOWNSTREAM - {"int_resolved_requests", "dim_request_category"}
+    assert by_node["fct_portal_sla_by_category"][0] == "built" and by_node["backlog_flow_identity"] == ("pass", 0)
+    assert len(by_node) == 12 + 45 + 2

@@ -147,3 +147,34 @@ def test_label_drift(spark):
     row = reports.label_drift(rated).head()
     assert (row.classified, row.high_share, row.low_share, row.critical_share) == (4, 0.5, 0.5, 0.0)
     assert row.median_score == pytest.approx(0.75) and row.min_score == 0.5
+
+
+def test_label_drift_medians_equal_a_sort(spark):
+    import random
+    from statistics import median
+
+    rng = random.Random(3)
+    items = [(rng.choice(["a", "b", None]), rng.choice([0.1, 0.2, 0.35, 0.5, rng.random()])) for _ in range(400)] + [("z", 0.4), ("n", None)]
+    rated = table(spark, *[request(f"{i}", service_code=c, urgency_score=s) for i, (c, s) in enumerate(items)])
+    found = {r.service_code: r.median_score for r in reports.label_drift(rated.repartition(5)).collect()}
+    by_code = {}
+    for c, s in items:
+        by_code.setdefault(c, []).append(s)
+    assert found.keys() == by_code.keys()
+    for c, scores in by_code.items():
+        want = None if scores == [None] else median(scores)
+        assert found[c] == (want if want is None else pytest.approx(want, abs=1e-12))
+
+
+def test_median_of_a_group_of_a_million_values(spark):
+    from curbline.operators.ordered import weighted_median
+
+    counts = spark.range(1_000_000).selectExpr("'g' as g", "cast(id * 7919 % 1000003 as double) as x", "id % 3 + 1 as n")
+    values = [(i * 7919 % 1_000_003, i % 3 + 1) for i in range(1_000_000)]
+    total, seen, middle = sum(n for _, n in values), 0, []
+    for x, n in sorted(values):
+        if seen <= (total - 1) // 2 < seen + n or seen <= total // 2 < seen + n:
+            middle.append(x)
+        seen += n
+    found = weighted_median(counts, ["g"], "x", "n", "big").collect()
+    assert [(r.g, r.median) for r in found] == [("g", (middle[0] + middle[-1]) / 2)]
