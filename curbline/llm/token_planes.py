@@ -5,18 +5,20 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from curbline.llm.common import one_per_id, words_of
+from curbline.llm.common import one_per_id
 from curbline.session import shared_dir
 
 BLOCK_IDS = 65_536
@@ -25,8 +27,8 @@ SHARD_BYTES = 64 << 20
 # Words whose ids a worker remembers: twice so many, of at most so many bytes.
 REMEMBERED = 200_000
 REMEMBERED_BYTES = 64
-# Documents that are looked up together; their new words are encoded in one call.
-TOGETHER = 64
+# Bytes of text that are cut into words together; their new words are encoded in one call.
+TOGETHER = 2 << 20
 MARK = "\x1f"
 # The tokenizer's cut of a lower-cased word, for the characters that PLAIN admits.
 PLAIN = re.compile("[!-~\u00c0-\u00ff]+")
@@ -73,9 +75,10 @@ class Encoder:
     crosses such a cut either. New words of plain letters and marks are cut here in the same way, so
     that words which differ in case or punctuation share their stem's ids; others stay whole.
 
-    New pieces go through the tokenizer in one text, with a control character between them, whose id
-    then marks where each piece's ids end. Pieces that hold that character are encoded by themselves.
-    What was used since the last turnover, or since the one before, is remembered.
+    New pieces of plain characters go to the tokenizer's model, in its byte alphabet. Others go through
+    the whole tokenizer in one text, with a control character between them, whose id then marks where each
+    piece's ids end; those that hold that character are encoded by themselves. What was used since the last
+    turnover, or since the one before, is remembered.
     """
 
     def __init__(self, path: str):
@@ -85,39 +88,61 @@ class Encoder:
         # A word of one control character stands between words; its id shows where each word's ids end.
         found = self._ids(MARK)
         self.mark_id = int(found[0]) if len(found) == 1 else None
+        self.model, cut = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.alphabet = {c: "".join(part for part, _ in cut(chr(c))) for c in (*range(0x21, 0x7F), *range(0xC0, 0x100))}
         self.words, self.pieces = Memory(REMEMBERED), Memory(REMEMBERED)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def _encode(self, pieces: list[str]) -> dict[str, bytes]:
-        odd = {w for w in pieces if self.mark_id is None or MARK in w}
-        plain = [w for w in pieces if w not in odd]
-        out = {w: self._ids(w).tobytes() for w in odd}
-        if plain:
-            ids = self._ids(f" {MARK} ".join(plain))
+        out, odd, rest = {}, [], []
+        plain, ids_of = PLAIN.fullmatch, self.model.tokenize
+        for w in pieces:
+            if plain(w) and "<|" not in w:
+                spelled = w if w.isascii() else w.translate(self.alphabet)
+                out[w] = array("I", [t.id for t in ids_of(spelled)]).tobytes()
+            else:
+                (odd if self.mark_id is None or MARK in w else rest).append(w)
+        out |= {w: self._ids(w).tobytes() for w in odd}
+        if rest:
+            ids = self._ids(f" {MARK} ".join(rest))
             ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
             raw, start = ids.tobytes(), 0
-            for w, end in zip(plain, ends):
+            for w, end in zip(rest, ends):
                 out[w] = raw[4 * start: 4 * end]
                 start = end + 1
         return out
 
-    def many(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        """The ids of each text."""
-        split = [words_of(t) for t in texts]
-        cut = {w: [w.lower().decode()] if w.isalpha() else cut_word(w.decode())
-               for w in self.words.missing(set().union(*split))}
+    def many(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of an array of strings.
+
+        Arrow cuts the texts at blanks and numbers their different words; only those are looked up in Python.
+        Every word's ids are then taken from those of the different ones by their numbers.
+        """
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        numbered = split.flatten().dictionary_encode()
+        different = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        cut = {w: [w.lower()] if w.isascii() and w.isalpha() else cut_word(w) for w in self.words.missing(set(different))}
         pieces = self.pieces.missing(set().union(*cut.values()))
         self.pieces.young |= self._encode(pieces)
         piece, get = self.pieces.young, self.words.young
         for w, parts in cut.items():
             get[w] = piece[parts[0]] if len(parts) == 1 else b"".join([piece[p] for p in parts])
-        of = get.__getitem__
-        out = [np.frombuffer(b"".join(map(of, words)), dtype="<u4") for words in split]
+        found = [get[w] for w in different]
         self.words.turn(cut)
         self.pieces.turn(pieces)
-        return out
+
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        known = np.frombuffer(b"".join(found), dtype="<u4")
+        number = numbered.indices.to_numpy()
+        size = sizes[number]
+        ends = np.cumsum(size)
+        ids = known[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[number] - ends + size, size)]
+        words = split.offsets.to_numpy() - split.offsets[0].as_py()
+        at = np.append(0, ends)[words]
+        return [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
 class Memory:
@@ -197,10 +222,11 @@ def write_token_planes(docs: DataFrame, path: str, tokenizer_path: str, end_id:
             return made
 
         def encoded(batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
-            for k in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(k, TOGETHER)
-                texts = part.column(1).cast(pa.binary()).to_pylist()
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.many(texts)):
+            taken = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // TOGETHER
+            cuts = [0, *(np.flatnonzero(np.diff(taken)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                part = batch.slice(lo, hi - lo)
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.many(part.column(1))):
                     yield doc_id, np.append(ids, np.uint32(end_id))
 
         for batch in batches:
