@@ -17,6 +17,12 @@ from curbline.session import materialise
 FREQUENT = 100_000
 # Sets above this size are never enumerated by subsets, whatever the estimated cost.
 LARGEST_SMALL = 256
+# Hashes of shingles that a task holds together while it counts them or publishes keys.
+TOGETHER = 2_000_000
+# Signatures of sets that a task remembers, not to publish equal ones twice.
+REMEMBERED = 200_000
+# Bits of a set's sketch, as 64-bit words. Two sets differ in at least as many elements as their sketches in bits.
+SKETCH_WORDS = 16
 # Rounds in which every member of a list tries one other before the rest of the pairs are looked at.
 ATTEMPTS = 3
 
@@ -71,35 +77,49 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return int(mixed(s).sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(mixed(s ^ np.uint64(0x5851F42D4C957F2D))).view(np.int64))
 
 
+def _sketch(s: np.ndarray) -> list[int]:
+    """The bits that a set's elements hash to."""
+    bits = np.zeros(64 * SKETCH_WORDS, dtype=bool)
+    bits[(mixed(s ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(len(bits))).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view("<i8").tolist()
+
+
 def _survey(docs: DataFrame, size: int) -> DataFrame:
-    """Per document (kind 0) its set's size and signature; per batch the shingles that recur in it
-    (kind 1, with their number) and the rows of its lists (kind 2: elements, sum of squared lengths)."""
+    """Per document (kind 0) its set's size, signature and sketch; of some sets at a time the shingles that recur in
+    them (kind 1, with their number) and the rows of their lists (kind 2: elements, sum of squared lengths)."""
+    types = (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+
+    def counted(rows: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+        if sets:
+            u, c = np.unique(np.concatenate(sets), return_counts=True)
+            often = c >= max(3, len(sets) // 1000)
+            rows += [(1, None, n, h, 0, None) for h, n in zip(u[often].view(np.int64).tolist(), c[often].tolist())]
+            usual = c[~often].astype(np.int64)
+            rows.append((2, None, int(usual.sum()), int((usual * usual).sum()), 0, None))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, t) for x, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types],
+            names=["kind", "doc_id", "n", "h1", "h2", "sketch"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, sets, seen = [], [], set()
+            rows, sets, seen, held = [], [], set(), 0
             for doc_id, text in _texts(batch):
                 s = shingle_set(text, size)
                 if not len(s):
-                    rows.append((0, doc_id, 0, 0, 0))
+                    rows.append((0, doc_id, 0, 0, 0, None))
                     continue
                 signature = _signature(s)
-                rows.append((0, doc_id, len(s), *signature))
+                rows.append((0, doc_id, len(s), *signature, _sketch(s)))
                 if signature not in seen:
                     seen.add(signature)
                     sets.append(s)
-            if sets:
-                u, c = np.unique(np.concatenate(sets), return_counts=True)
-                often = c >= max(3, len(sets) // 1000)
-                rows += [(1, None, n, h, 0) for h, n in zip(u[often].view(np.int64).tolist(), c[often].tolist())]
-                usual = c[~often].astype(np.int64)
-                rows.append((2, None, int(usual.sum()), int((usual * usual).sum()), 0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))]
-                if rows else [pa.array([], t) for t in (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64())],
-                names=["kind", "doc_id", "n", "h1", "h2"])
+                    held += len(s)
+                if held >= TOGETHER:
+                    yield counted(rows, sets)
+                    rows, sets, seen, held = [], [], set(), 0
+            yield counted(rows, sets)
 
-    return docs.mapInArrow(run, "kind byte, doc_id long, n long, h1 long, h2 long")
+    return docs.mapInArrow(run, "kind byte, doc_id long, n long, h1 long, h2 long, sketch array<long>")
 
 
 def _keys(docs: DataFrame, size: int, at_least: Ratio, small: int, hashes: np.ndarray, counts: np.ndarray) -> DataFrame:
@@ -119,10 +139,16 @@ def _keys(docs: DataFrame, size: int, at_least: Ratio, small: int, hashes: np.nd
         late = s[often]
         return np.concatenate([s[~often], late[np.argsort(counts[at[often]], kind="stable")]])
 
+    def made(keys: list, docs_of: list, packed: list) -> pa.RecordBatch:
+        arrays = [np.concatenate(x).astype(t, copy=False) if x else np.zeros(0, t)
+                  for x, t in ((keys, np.uint64), (docs_of, np.int64), (packed, np.int64))]
+        return pa.RecordBatch.from_arrays([pa.array(arrays[0].view(np.int64)), pa.array(arrays[1]), pa.array(arrays[2])],
+                                          names=["key", "doc", "packed"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            keys, docs_of, packed = [], [], []
+            keys, docs_of, packed, held = [], [], [], 0
             for doc_id, text in _texts(batch):
                 s = shingle_set(text, size)
                 n = len(s)
@@ -131,7 +157,7 @@ def _keys(docs: DataFrame, size: int, at_least: Ratio, small: int, hashes: np.nd
                 signature = _signature(s)
                 if signature in seen:
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < REMEMBERED:
                     seen.add(signature)
                 s, least = ordered(s), _least(n, at_least)
                 if n <= small:
@@ -144,10 +170,11 @@ def _keys(docs: DataFrame, size: int, at_least: Ratio, small: int, hashes: np.nd
                     keys.append(s[:p])
                     packed.append((np.int64(n) << 32) + n - np.arange(p))
                     docs_of.append(np.full(p, doc_id))
-            arrays = [np.concatenate(x).astype(t, copy=False) if x else np.zeros(0, t)
-                      for x, t in ((keys, np.uint64), (docs_of, np.int64), (packed, np.int64))]
-            yield pa.RecordBatch.from_arrays([pa.array(arrays[0].view(np.int64)), pa.array(arrays[1]), pa.array(arrays[2])],
-                                             names=["key", "doc", "packed"])
+                held += n
+                if held >= TOGETHER // 4:
+                    yield made(keys, docs_of, packed)
+                    keys, docs_of, packed, held = [], [], [], 0
+            yield made(keys, docs_of, packed)
 
     return docs.mapInArrow(run, "key long, doc long, packed long")
 
@@ -158,6 +185,13 @@ def _within_reach(at_least: Ratio, n: str, m: str, reach_n: str, reach_m: str):
     return F.expr(f"least({reach_n}, {reach_m}) * {num + den} >= {num} * ({n} + {m})")
 
 
+def _alike(at_least: Ratio, n: str, m: str, sketch_n: str, sketch_m: str):
+    """The sketches differ in no more bits than sets of these sizes and this similarity in elements."""
+    num, den = at_least
+    bits = " + ".join(f"bit_count({sketch_n}[{k}] ^ {sketch_m}[{k}])" for k in range(SKETCH_WORDS))
+    return F.expr(f"({bits}) * {num + den} <= {den - num} * ({n} + {m})")
+
+
 def _sets(docs: DataFrame, size: int, names: str) -> DataFrame:
     """The set of every row of (doc_id, text, other): (doc_id, other, s) under the given names."""
     first, second = names.split()
@@ -174,9 +208,12 @@ def _sets(docs: DataFrame, size: int, names: str) -> DataFrame:
     return docs.mapInArrow(run, f"{first} long, {second} long, s_{first} array<long>")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, size: int, at_least: Ratio) -> DataFrame:
-    """The pairs (a, b) of a written table whose sets reach the similarity. Only paired documents' sets
-    are built; one set per pair travels to the other's, and a set with many partners is split by AQE."""
+def _verified(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, size: int, at_least: Ratio) -> DataFrame:
+    """The pairs (a, b) of a written table whose sets reach the similarity. Sizes and sketches travel first and
+    settle the pairs that differ too much; of the others, the documents' sets are built, one set per pair travels
+    to the other's, and a set with many partners is split by AQE."""
+    a, b = (sketches.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for x in "ab")
+    pairs = materialise(pairs.join(a, "a").join(b, "b").where(_alike(at_least, "n_a", "n_b", "s_a", "s_b")).select("a", "b"), "join-alike")
     partners = materialise(pairs.select("b").distinct(), "join-partners")
     left = _sets(docs.join(bounded(pairs), F.col("doc_id") == F.col("a")).select("doc_id", "text", "b"), size, "a b")
     right = _sets(docs.join(bounded(partners), F.col("doc_id") == F.col("b")).select("doc_id", "text", "b"), size, "b same")
@@ -197,7 +234,9 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
     * each list proposes to its members one of them, at first that with the fewest rare elements; a set is
       checked against the one that most of its lists propose. Links give components, and the lists that
       still hold several propose anew, ``ATTEMPTS`` times in all. Then only members of different components in one list pair
-      with each other, if sizes and places in the lists allow the similarity, and are checked.
+      with each other, if sizes, places in the lists and sketches allow the similarity, and are checked;
+    * a check compares sketches first, sets of bits that elements hash to: sets differ in at least as many elements
+      as their sketches in bits, so no link is lost and few sets travel.
 
     So a group of copies costs as many pairs as members, and no linked pair of different components is
     missed: the lists have every pair that can reach the similarity.
@@ -211,6 +250,7 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
     docs = one_per_id(docs, "doc_id", "text")
     survey = materialise(_survey(docs, size), "join-survey")
     sets = survey.where("kind = 0")
+    sketches = sets.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "sketch")
     top = (survey.where("kind = 1").groupBy("h1").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "h1").limit(FREQUENT).toPandas())
     hashes, counts = top["h1"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
@@ -237,7 +277,7 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
             tries = tries.join(tried, ["a", "b"], "left_anti")
         tries = materialise(tries, "join-tries")
         tried = tries if tried is None else tried.unionByName(tries)
-        found = materialise(_verified(docs, tries, size, at_least), "join-links")
+        found = materialise(_verified(docs, sketches, tries, size, at_least), "join-links")
         linked = found if linked is None else found.unionByName(nodes.where("node <> component").select(
             F.col("node").alias("a"), F.col("component").alias("b")))
         nodes = materialise(connected_components(linked, "a", "b"), "join-nodes")
@@ -246,13 +286,15 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
         mixed_keys = (grouped.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                       .where("lo <> hi").select("key"))
         open_lists = materialise(grouped.join(mixed_keys, "key", "left_semi"), "join-open")
-    x, y = (open_lists.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "reach", "component")]) for side in "ab")
+    open_lists = open_lists.join(sketches.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
+    x, y = (open_lists.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "reach", "component", "sketch")]) for side in "ab")
     rest = (x.join(y, "key").where("doc_a < doc_b AND component_a <> component_b")
             .where(_within_reach(at_least, "n_a", "n_b", "reach_a", "reach_b"))
+            .where(_alike(at_least, "n_a", "n_b", "sketch_a", "sketch_b"))
             .select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct())
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = materialise(rest.join(tried, ["a", "b"], "left_anti"), "join-rest")
-    more = materialise(_verified(docs, rest, size, at_least), "join-more")
+    more = materialise(_verified(docs, sketches, rest, size, at_least), "join-more")
 
     same = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "h1", "h2").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("members")).where("members > 1")
