@@ -31,8 +31,6 @@ LEET = str.maketrans("013457", "oieast")
 
 # A fit uses at most about so many labelled rows, taken by a hash of their doc_id.
 FIT_ROWS = 20_000
-TERMS = 4_096
-CANDIDATES = 100_000
 PREFIXES = (4, 5, 6)
 FEATURES = 8
 
@@ -43,23 +41,27 @@ class FuzzyLexicon:
     """Words within one edit of a lexicon term: the product of the terms' trie and a Levenshtein
     automaton, made deterministic state by state as words are read.
 
-    A state holds (trie node, edits so far) pairs. Most words reach the dead state after a few letters.
-    Misspellings count for whole terms of five letters or more.
+    A state holds (trie node, edits so far, letter due) triples; a letter is due where the word has two letters of
+    the term in the other order, which is one edit. Most words reach the dead state after a few letters. A node can
+    end a whole term and begin longer words at once, with a weight for each. Misspellings count for whole terms of five
+    letters or more.
     """
 
-    def __init__(self, terms: list[Term], edits: int = 1, shortest: int = 5, states: int = 200_000):
+    def __init__(self, terms: list[Term], edits: int = 1, shortest: int = 5, states: int = 20_000):
         self.children: list[dict[str, int]] = [{}]
-        self.ends: list[tuple[float, bool, int] | None] = [None]
+        self.whole, self.begin, self.depth = [0.0], [0.0], [0]
         for text, prefix, weight in terms:
             node = 0
             for c in text:
                 if c not in self.children[node]:
                     self.children[node][c] = len(self.children)
                     self.children.append({})
-                    self.ends.append(None)
+                    self.whole.append(0.0)
+                    self.begin.append(0.0)
+                    self.depth.append(self.depth[node] + 1)
                 node = self.children[node][c]
-            if self.ends[node] is None or self.ends[node][0] < weight:
-                self.ends[node] = (weight, prefix, len(text))
+            weights = self.begin if prefix else self.whole
+            weights[node] = max(weights[node], weight)
         self.edits, self.shortest, self.most = edits, shortest, states
         self.forget()
 
@@ -67,23 +69,22 @@ class FuzzyLexicon:
         self.steps: list[dict[str, int]] = []
         self.sets: list[tuple] = []
         self.index: dict[tuple, int] = {}
-        self.start = self._state({(0, 0)}, 0.0)
+        self.start = self._state({(0, 0, "")}, 0.0)
 
-    def _state(self, pairs: set[tuple[int, int]], seen: float) -> int:
+    def _state(self, pairs: set[tuple[int, int, str]], seen: float) -> int:
         """``seen``: the weight of the best prefix term that the letters so far begin with."""
         pairs = set(pairs)
         waiting = list(pairs)
         while waiting:  # a letter of the term left out
-            node, e = waiting.pop()
-            if e < self.edits:
+            node, e, due = waiting.pop()
+            if e < self.edits and not due:
                 for child in self.children[node].values():
-                    if (child, e + 1) not in pairs:
-                        pairs.add((child, e + 1))
-                        waiting.append((child, e + 1))
-        for node, e in pairs:
-            end = self.ends[node]
-            if end and end[1] and e == 0:
-                seen = max(seen, end[0])
+                    if (child, e + 1, "") not in pairs:
+                        pairs.add((child, e + 1, ""))
+                        waiting.append((child, e + 1, ""))
+        for node, e, _ in pairs:
+            if e == 0:
+                seen = max(seen, self.begin[node])
         key = (frozenset(pairs), seen)
         if key not in self.index:
             self.index[key] = len(self.sets)
@@ -94,12 +95,19 @@ class FuzzyLexicon:
     def _step(self, state: int, c: str) -> int:
         pairs, seen = self.sets[state]
         after = set()
-        for node, e in pairs:
+        for node, e, due in pairs:
+            if due:
+                if c == due:
+                    after.add((node, e, ""))
+                continue
             if c in self.children[node]:
-                after.add((self.children[node][c], e))
+                after.add((self.children[node][c], e, ""))
             if e < self.edits:
-                after.add((node, e + 1))
-                after.update((child, e + 1) for child in self.children[node].values())
+                after.add((node, e + 1, ""))
+                for letter, child in self.children[node].items():
+                    after.add((child, e + 1, ""))
+                    if c in self.children[child]:
+                        after.add((self.children[child][c], e + 1, letter))
         self.steps[state][c] = found = self._state(after, seen)
         return found
 
@@ -114,12 +122,11 @@ class FuzzyLexicon:
                 break
         pairs, exact = self.sets[state]
         near = 0.0
-        for node, e in pairs:
-            if end := self.ends[node]:
-                if e == 0:
-                    exact = max(exact, end[0])
-                elif end[2] >= self.shortest and not end[1]:
-                    near = max(near, end[0])
+        for node, e, due in pairs:
+            if e == 0:
+                exact = max(exact, self.whole[node])
+            elif not due and self.depth[node] >= self.shortest:
+                near = max(near, self.whole[node])
         return exact, near
 
 
@@ -217,13 +224,13 @@ def _term_counts(rows: DataFrame, only: frozenset[str] | None = None) -> DataFra
 def learn_terms(rows: DataFrame) -> list[Term]:
     """Words, and beginnings of words, that toxic rows of (text, toxic) hold far more often than others.
 
-    Weights are log odds of document frequencies. At most ``CANDIDATES`` units, the commonest in toxic
-    rows, are looked at and at most ``TERMS`` kept.
+    Weights are log odds of document frequencies. All units that enough toxic rows hold are looked at; the rows
+    to learn from are bounded, and so are these.
     """
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_bad, n_good = sizes.get(1, 0), sizes.get(0, 0)
     least = 3 if n_bad < 200 else 5
-    common = _term_counts(rows.where("toxic = 1")).where(F.col("n") >= least).orderBy(F.desc("n"), "unit").limit(CANDIDATES)
+    common = _term_counts(rows.where("toxic = 1")).where(F.col("n") >= least)
     bad = {r["unit"]: r["n"] for r in common.collect()}
     good = {r["unit"]: r["n"] for r in _term_counts(rows.where("toxic = 0"), frozenset(bad)).collect()} if bad else {}
     for w in SEED:
@@ -234,7 +241,7 @@ def learn_terms(rows: DataFrame) -> list[Term]:
         if odds >= np.log(8) and n >= 4 * (1 + good.get(unit, 0)) * max(1, n_bad) / max(1, n_good, n_bad) or unit in SEED and odds > 0:
             scored.append((float(odds), unit))
     scored.sort(key=lambda x: (-x[0], x[1]))
-    return [(u.rstrip("*"), u.endswith("*"), w) for w, u in scored[:TERMS]]
+    return [(u.rstrip("*"), u.endswith("*"), w) for w, u in scored]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 40) -> np.ndarray:
@@ -252,13 +259,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int =
     return w
 
 
-def _apply(rows: DataFrame, schema: str, out_of) -> DataFrame:
-    """``rows`` of (id, extra, text) with what ``out_of`` makes of a batch's texts."""
+def _apply(rows: DataFrame, schema: str, terms: list[Term], out_of) -> DataFrame:
+    """``rows`` of (id, extra, text) with what ``out_of`` makes of a task's scanner and a batch's texts. The scanner goes
+    with its task, so a worker that goes on to other stages doesn't keep what it remembers."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = Scanner(terms)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), out_of(batch.column(2).to_pylist())], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), out_of(scan, batch.column(2).to_pylist())], names=names)
 
     return rows.mapInArrow(run, schema)
 
@@ -268,12 +277,11 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[lis
     chosen = materialise(_labelled(docs, labels, rows).select("doc_id", "toxic", "text"), "toxic-fit")
     terms = learn_terms(chosen)
 
-    def measured(texts: list) -> pa.Array:
-        scan = _scanner(terms)
+    def measured(scan: Scanner, texts: list) -> pa.Array:
         return pa.array([scan.features(t).tolist() for t in texts], pa.list_(pa.float64()))
 
     found = _apply(chosen.select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text"),
-                   "doc_id long, toxic int, features array<double>", measured).toPandas()
+                   "doc_id long, toxic int, features array<double>", terms, measured).toPandas()
     if found.empty:
         prior = np.zeros(FEATURES + 1)
         prior[[4, 7, 8]] = 1.0, 0.0, -3.0
@@ -282,18 +290,6 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[lis
     return terms, fit_logistic(np.array(found["features"].tolist()), found["toxic"].to_numpy(float))
 
 
-_SCANNERS: dict[int, Scanner] = {}
-
-
-def _scanner(terms: list[Term]) -> Scanner:
-    """One scanner per worker and lexicon."""
-    key = hash(tuple(terms))
-    if key not in _SCANNERS:
-        _SCANNERS.clear()
-        _SCANNERS[key] = Scanner(terms)
-    return _SCANNERS[key]
-
-
 def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every document of (doc_id, text, ...).
 
@@ -312,13 +308,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) ->
     docs = one_per_id(docs, "doc_id", "text")
     terms, weights = learn(docs, labels, rows)
 
-    def scored(texts: list) -> pa.Array:
-        scan = _scanner(terms)
+    def scored(scan: Scanner, texts: list) -> pa.Array:
         x = np.array([scan.features(t) for t in texts]).reshape(-1, FEATURES)
         return pa.array(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))), pa.float64())
 
     held_out = (_fold(F.col("doc_id")) == 0).alias("held_out")
-    return (_apply(docs.select("doc_id", held_out, "text"), "doc_id long, held_out boolean, score double", scored)
+    return (_apply(docs.select("doc_id", held_out, "text"), "doc_id long, held_out boolean, score double", terms, scored)
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
