@@ -4,7 +4,37 @@ from __future__ import annotations
 
 from curbline.bindings.inputs import SETTINGS
 from curbline.config import PARENT_LOCATIONS, SLA_STATES, TIERS, UNKNOWN
-from curbline.plans.build import Model, project
+
+# What each model reads, and its checks: columns that are not null, that hold accepted values, that are unique, and
+# checks of its own. Sources read nothing and aren't built.
+GRAPH: dict[str, tuple[str, str, str, str, str]] = {
+    "service_requests": ("", "service_request_id status requested_datetime", "urgency_label", "service_request_id", ""),
+    "portal_requests": ("", "sr_number pull_id", "", "", ""),
+    "portal_pulls": ("", "", "", "", "verified_partitions_reconcile"),
+    "fiscal_calendar": ("portal_pulls", "", "", "", "fy_fully_covered"),
+    "stg_service_requests": ("service_requests", "service_request_id requested_datetime status", "urgency_label",
+                             "service_request_id", "closed_requests_have_close_time"),
+    "int_resolved_requests": ("stg_service_requests", "", "", "", ""),
+    "dim_request_category": ("stg_service_requests", "service_code service_name", "typical_urgency_label", "service_code", ""),
+    "fct_sla_compliance": ("int_resolved_requests dim_request_category", "department service_code month total_requests", "", "",
+                           "sla_pct_between_0_and_1 fct_sla_grain_unique"),
+    "stg_portal_requests": ("portal_requests portal_pulls", "sr_number created_date", "", "sr_number",
+                            "close_not_before_create latest_version_wins"),
+    "int_portal_cohort": ("stg_portal_requests fiscal_calendar portal_sr_types", "sr_number", "sla_state", "sr_number", ""),
+    "int_portal_parent_links": ("stg_portal_requests portal_parent_lookup", "", "parent_location", "", ""),
+    "fct_portal_sla_monthly": ("int_portal_cohort", "sr_type month_start created_requests", "", "",
+                               "cohort_denominators quarters_sum_to_year"),
+    "fct_portal_sla_by_category": ("fct_portal_sla_monthly", "sr_type", "", "sr_type", ""),
+    "fct_portal_volume_monthly": ("int_portal_cohort", "fiscal_month", "", "", "running_total_reconciles"),
+    "fct_portal_backlog_weekly": ("int_portal_cohort fiscal_calendar", "week_end", "", "", "backlog_flow_identity"),
+}
+MADE = [name for name, (reads, *_) in GRAPH.items() if reads]
+CHECKS = [
+    (model, check)
+    for model, (_, known, accepted, unique, own) in GRAPH.items()
+    for check in (*[f"not_null_{model}_{c}" for c in known.split()], *[f"accepted_values_{model}_{c}" for c in accepted.split()],
+                  *[f"unique_{model}_{c}" for c in unique.split()], *own.split())
+]
 
 # Where the SQL of a model stands: the named steps over the requests, or those over the extract.
 REQUEST_STEPS = {
@@ -50,13 +80,13 @@ SINGLE = {
 IN_REQUESTS = {"closed_requests_have_close_time", "sla_pct_between_0_and_1", "fct_sla_grain_unique"}
 
 
-def _violating(model: Model, check: str) -> tuple[bool, str]:
+def _violating(model: str, check: str) -> tuple[bool, str]:
     """Whether a check is over the requests, and the rows that break it."""
     if check in SINGLE:
         return check in IN_REQUESTS, SINGLE[check]
-    over = model.name in REQUEST_STEPS
-    step = (REQUEST_STEPS if over else EXTRACT_STEPS)[model.name]
-    rule, column = check.split(f"_{model.name}_")
+    over = model in REQUEST_STEPS
+    step = (REQUEST_STEPS if over else EXTRACT_STEPS)[model]
+    rule, column = check.split(f"_{model}_")
     if rule == "not_null":
         return over, f"select 1 from {step} where {column} is null"
     if rule == "unique":
@@ -68,16 +98,15 @@ def _violating(model: Model, check: str) -> tuple[bool, str]:
 def violations(requests, extract) -> str:
     """(node, violations) of every check. ``requests`` and ``extract`` put their steps before a final select."""
     found: dict[bool, list[str]] = {True: [], False: []}
-    for model in project(SETTINGS):
-        for check in (*model.row_checks, *model.checks):
-            over, rows = _violating(model, check)
-            found[over].append(f"select '{check}' as node, (select count(*) from ({rows})) as violations")
+    for model, check in CHECKS:
+        over, rows = _violating(model, check)
+        found[over].append(f"select '{check}' as node, (select count(*) from ({rows})) as violations")
     return " union all ".join(f"(from ({put(' union all '.join(found[over]))}))" for over, put in ((True, requests), (False, extract)))
 
 
 def report(requests, extract) -> str:
     """Every model built, every check with its violations, of which those it has are warnings."""
-    models = ", ".join(f"('{m.name}')" for m in project(SETTINGS) if m.make is not None)
+    models = ", ".join(f"('{m}')" for m in MADE)
     return f"""
         select node, 'model' as kind, 'error' as severity, null::bigint as violations, 'built' as status
         from (values {models}) m(node)
@@ -89,10 +118,9 @@ def report(requests, extract) -> str:
 def failed_report(requests, extract, raising: str, failing: tuple[str, str], raising_check: tuple[str, str]) -> str:
     """The report when a model raises, one has a check that every row breaks, and one a check that raises. What reads
     a model that raised or failed is skipped, and so on down the graph."""
-    models = [m for m in project(SETTINGS)]
-    reads = ", ".join(f"('{m.name}', '{r}')" for m in models for r in m.reads)
-    made = ", ".join(f"('{m.name}')" for m in models if m.make is not None)
-    checks = ", ".join(f"('{m.name}', '{c}')" for m in models for c in (*m.row_checks, *m.checks))
+    reads = ", ".join(f"('{m}', '{r}')" for m, (sources, *_) in GRAPH.items() for r in sources.split())
+    made = ", ".join(f"('{m}')" for m in MADE)
+    checks = ", ".join(f"('{m}', '{c}')" for m, c in CHECKS)
     failing_step = EXTRACT_STEPS[failing[0]]
     return f"""
         with recursive reads(model, source) as (values {reads}),

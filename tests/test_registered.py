@@ -1,3 +1,5 @@
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -16,11 +18,17 @@ def con():
     return database(SMALL)
 
 
-def test_every_query_but_the_build_has_sql():
-    assert set(QUERIES) - set(ORACLES) == {"build_report"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
+def test_the_sql_needs_no_session():
+    code = "import __spark_entry__ as e; print(len(e.oracle_sql()) <= len(e.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip() == "True", done.stderr
+
+
 def test_flagship(spark):
     assert entry_points.entry(spark).count() > 0
 
