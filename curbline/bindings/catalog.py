@@ -472,6 +472,8 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": streams.polled_twice,
     "pull_landed": landings.landed,
     "pull_landed_ledger": landings.landed_ledger,
+    "extract_pages": landings.pages_read_back,
+    "extract_page_report": landings.page_report,
     "stream_replayed": streams.replayed,
     "stream_write_errors": streams.write_errors,
     "stream_progress": streams.progress,

@@ -61,6 +61,22 @@ def ledger(plan: DataFrame, landed: DataFrame, manifest: DataFrame, failed_days:
     return rows.withColumn("status", status).select(schemas.PORTAL_PULLS.fieldNames())
 
 
+def write_pages(rows: DataFrame, root: str, columns: list[str] | None = None) -> None:
+    """Extract rows as gzipped CSV with a header, added to ``root/page=<name>/``, a file for each page in ``rows``."""
+    def text(name: str):
+        if schemas.EXTRACT_TYPES[name] == schemas.NTZ:
+            return F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(name)
+        return F.col(name).cast("string").alias(name)
+
+    (
+        rows.select("page", *[text(c) for c in columns or schemas.EXTRACT_TYPES])
+        .repartition("page").write.mode("append").partitionBy("page")
+        .option("header", True).option("quote", '"').option("escape", '"').option("compression", "gzip")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(root)
+    )
+
+
 def portal_pull(
     spark: SparkSession,
     extract: DataFrame,

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from curbline import schemas
 from curbline.functions import times, values
 from curbline.operators import latest, validate
+from curbline.session import materialise
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -90,6 +91,48 @@ def portal_days(spark: SparkSession, root: str) -> DataFrame:
     return typed_extract(raw)
 
 
+CORRUPT = "corrupt"
+
+
+def extract_pages(spark: SparkSession, root: str) -> DataFrame:
+    """Every record of the pages landed as ``root/page=<name>/*.csv`` or ``.csv.gz``: the page, the 18 typed columns, and
+    in ``corrupt`` the text of a record that has not 18 fields (NULL for all others; its columns mean nothing). An empty
+    field is NULL, quoted or not. Parsed once and written, as the report and the rows both read them."""
+    fields = [*schemas.EXTRACT_CSV.fields, T.StructField(CORRUPT, T.StringType()), T.StructField("page", T.StringType())]
+    raw = (
+        spark.read.schema(T.StructType(fields))
+        .option("basePath", root).option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+        .option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+        .csv(f"{root}/page=*")
+    )
+    return materialise(typed_extract(raw).withColumn(CORRUPT, F.rtrim(F.col(CORRUPT), F.lit("\r\n"))), "extract-pages")
+
+
+def reconcile_pages(records: DataFrame, manifest: DataFrame) -> DataFrame:
+    """What came of each page that the manifest (page, expected_count) or the folder has.
+
+    ``complete``: as many records as expected, none corrupt. ``corrupt``: some record didn't parse, the first by its
+    text is told. ``count_mismatch``: another number of records, also none at all. ``unplanned``: not in the manifest.
+    """
+    read = records.groupBy("page").agg(
+        F.count(F.lit(1)).alias("records"), F.count(CORRUPT).alias("corrupt_records"), F.min(CORRUPT).alias("first_corrupt"))
+    none = F.lit(0).cast("long")
+    both = manifest.select("page", "expected_count").join(read, "page", "full").withColumns(
+        {c: F.coalesce(c, none) for c in ("records", "corrupt_records")})
+    status = (
+        F.when(F.col("expected_count").isNull(), "unplanned")
+        .when(F.col("corrupt_records") > 0, "corrupt")
+        .when(F.col("records") != F.col("expected_count"), "count_mismatch")
+        .otherwise("complete")
+    )
+    return both.select("page", "expected_count", "records", "corrupt_records", "first_corrupt", status.alias("status"))
+
+
+def complete_pages(records: DataFrame, report: DataFrame) -> DataFrame:
+    """The records of the pages that the report calls complete."""
+    return records.drop(CORRUPT).join(report.filter("status = 'complete'").select("page"), "page", "left_semi")
+
+
 def read_recorded_labels(spark: SparkSession, path: str) -> DataFrame:
     """Recorded enriched requests as JSON lines; blank lines vanish, the newest label per id wins."""
     text = {"requested_datetime", "classified_at"}

@@ -322,3 +322,28 @@ def test_reading_does_not_shuffle_the_base(spark, tmp_path):
     assert now.count() == 50
     plan = now._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "LeftAnti, BuildRight" in plan and "SortMergeJoin" not in plan
+
+
+def test_pages_reconciled_with_their_manifest(spark, tmp_path):
+    """A record with a line end in a field, one with too many fields, one cut short, and a quote that swallows the rest."""
+    header = ",".join(schemas.EXTRACT_TYPES)
+
+    def line(key, address="1 Oak"):
+        return ",".join([key, "T", "T1", "", "Open", "web", "2026-05-01T08:00:00", "", "", "true", "false", "", address, "1", "x", "2.5", "41.5", "-87.5"])
+
+    pages = {"a": [line("a1", '"1 ""Oak"",\nrear"'), line("a2")], "b": [line("b1"), "b2,T,T1", line("b3") + ",more"],
+             "c": [line("c1", '"1 Oak'), line("c2")], "d": [], "e": [line("e1")], "f": [line("f1")]}
+    for page, rows in pages.items():
+        (tmp_path / f"page={page}").mkdir()
+        (tmp_path / f"page={page}" / "1.csv").write_text("\n".join([header, *rows]) + "\n")
+    records = files.extract_pages(spark, str(tmp_path))
+    manifest = spark.createDataFrame([("a", 2), ("b", 3), ("c", 2), ("d", 0), ("e", 2), ("g", 1)], "page string, expected_count long")
+    report = files.reconcile_pages(records, manifest)
+    got = {r.page: (r.status, r.records, r.corrupt_records) for r in report.collect()}
+    assert got.pop("c")[0] in ("corrupt", "count_mismatch")
+    assert got == {"a": ("complete", 2, 0), "b": ("corrupt", 3, 2), "d": ("complete", 0, 0), "e": ("count_mismatch", 1, 0),
+                   "f": ("unplanned", 1, 0), "g": ("count_mismatch", 0, 0)}
+    assert {r.page: r.first_corrupt for r in report.collect()}["b"] == "b2,T,T1"
+    rows = {r.sr_number: r for r in files.complete_pages(records, report).collect()}
+    assert set(rows) == {"a1", "a2"} and rows["a1"].street_address == '1 "Oak",\nrear' and rows["a1"].ward is None
+    assert rows["a2"].community_area == 3 and rows["a2"].duplicate and not rows["a2"].legacy_record
