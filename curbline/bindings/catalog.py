@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -249,6 +250,30 @@ def _replay_missed(spark: SparkSession, d: str) -> DataFrame:
     return failed.select("service_request_id", "error_type", "error_message")
 
 
+def _by_function(spark: SparkSession, d: str) -> DataFrame:
+    """Requests labelled by a function that refuses every 101st for good and fails once on every 19th, in pieces of 500
+    rows, two at a time. Every 23rd gets a label that isn't one."""
+    met: set[int] = set()
+
+    def rate(rows):
+        numbers = rows["service_request_id"].str[1:].astype("int64")
+        if (numbers % 101 == 0).any():
+            raise ValueError("refused")
+        shaky = set(numbers[numbers % 19 == 0])
+        if not shaky <= met:
+            met.update(shaky)
+            raise ConnectionError("try again")
+        labels = numbers.map(lambda n: "Odd" if n % 23 == 0 else TIERS[n % len(TIERS)])
+        return pd.DataFrame({"urgency_label": labels, "urgency_score": numbers % 100 / 100, "llm_reasoning": rows["prompt"].str.len().astype(str)})
+
+    rows = inputs.service_requests(spark, d).select(schemas.REQUEST.fieldNames())
+    at = F.lit("2024-03-01").cast("timestamp_ntz")
+    labelled = classify.classify(rows, "function", fn=rate, at=at, workers=2, rows_a_call=500, attempts=2, seconds=60.0)
+    good = F.col("error_type").isNull()
+    return labelled.select("service_request_id", "error_type", F.when(~good & (F.col("error_type") != "LabelContract"), F.col("error_message")).alias("error_message"),
+                           *[F.when(good, F.col(c)).alias(c) for c in ("urgency_label", "urgency_score", "classified_at")])
+
+
 def _alerts(spark: SparkSession, d: str) -> DataFrame:
     inputs.prepare(spark)
     errors = inputs.table(spark, d, "events").filter(F.col("event_type") == "error")
@@ -438,6 +463,7 @@ QUERIES: dict[str, Query] = {
     "backfill_window": _backfill,
     "replay_classify": _replay_good,
     "replay_dead_letter": _replay_missed,
+    "function_classify": _by_function,
     "dlq_rate_alerts": _alerts,
     "consumer_lag": _lag,
     "consumer_lag_total": lambda s, d: alerts.total_lag(_lag(s, d)),

@@ -623,6 +623,13 @@ ORACLES: dict[str, str] = {
         select service_request_id, 'ReplayMiss' as error_type,
                'no recorded classification for ' || service_request_id as error_message
         from numbered where n % 4 = 1 or urgency_label is null or urgency_label = 'Unknown'"""),
+    "function_classify": _with(_MERGE, f"""
+        select service_request_id, f.error_type, f.error_message,
+               case when f.error_type is null then [{_list(TIERS)}][n % {len(TIERS)} + 1] end as urgency_label,
+               case when f.error_type is null then (n % 100) / 100.0::double end as urgency_score,
+               case when f.error_type is null then timestamp '2024-03-01' end as classified_at
+        from numbered left join (values (true, 'ValueError', 'refused'), (false, 'LabelContract', null)) f(refused, error_type, error_message)
+          on case when n % 101 = 0 then f.refused when n % 23 = 0 then not f.refused else false end"""),
     "dlq_rate_alerts": """
         with failures as (select date_trunc('second', ts) as s from events where event_type = 'error'),
         windowed as (select s, count(*) over (order by s range between interval 3600 second preceding

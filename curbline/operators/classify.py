@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from queue import Empty, Queue
+from threading import Thread
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,7 +25,7 @@ def classify(requests: DataFrame, strategy: str, **options) -> DataFrame:
     """Requests with the six label columns plus ``error_type`` and ``error_message``.
 
     Strategies: ``recorded`` (labels=), ``by_type`` (sr_types=, at=), ``rules`` (label=, score=,
-    reasoning=, at=) and ``function`` (fn=, at=). Labels outside the contract turn into errors.
+    reasoning=, at=) and ``function`` (fn=, at=, and how it is called). Labels outside the contract turn into errors.
     """
     known: dict[str, Callable[..., DataFrame]] = {
         "recorded": _recorded, "by_type": _by_type, "rules": _rules, "function": _function,
@@ -96,17 +99,45 @@ def _rules(
     })
 
 
+def within(seconds: float | None, fn: Callable, *args):
+    """``fn(*args)``, or TimeoutError if it takes longer than that. None sets no limit."""
+    if seconds is None:
+        return fn(*args)
+    done: Queue = Queue()
+
+    def run() -> None:
+        try:
+            done.put((fn(*args), None))
+        except Exception as exc:
+            done.put((None, exc))
+
+    Thread(target=run, daemon=True).start()
+    try:
+        answer, problem = done.get(timeout=seconds)
+    except Empty:
+        raise TimeoutError(f"no answer within {seconds} s") from None
+    if problem is not None:
+        raise problem
+    return answer
+
+
 def _function(
     requests: DataFrame,
     fn: Callable[[pd.DataFrame], pd.DataFrame],
     at: Column,
     settings: Settings = DEFAULT,
+    workers: int = 1,
+    rows_a_call: int | None = None,
+    attempts: int = 1,
+    seconds: float | None = None,
 ) -> DataFrame:
     """Labels from a caller's function over Arrow batches of (service_request_id, prompt).
 
     ``fn`` returns urgency_label, urgency_score and llm_reasoning for each row it was given, in
-    order. If it raises on a batch, the rows are offered one by one so that only the failing ones
-    become errors.
+    order. A call gets a batch, or ``rows_a_call`` rows of it; ``workers`` calls run at once in a task. A call that
+    raises, answers another number of rows or takes longer than ``seconds`` is made ``attempts`` times in all, then its
+    rows are halved until what fails is single rows; only those become errors. A call that overran is left behind in
+    its own thread, and its late answer is dropped.
     """
     columns = ["urgency_label", "urgency_score", "llm_reasoning"]
     prompt = values.prompt_text(*[
@@ -122,24 +153,26 @@ def _function(
         + _ERRORS
     )
 
-    def one_by_one(batch: pd.DataFrame) -> pd.DataFrame:
-        answers = []
-        for i in range(len(batch)):
+    def answered(rows: pd.DataFrame) -> pd.DataFrame:
+        for left in reversed(range(attempts)):
             try:
-                row = fn(batch.iloc[i:i + 1]).iloc[0]
-                answers.append([row[c] for c in columns] + [None, None])
+                return within(seconds, fn, rows)[columns].set_axis(rows.index).assign(error_type=None, error_message=None)
             except Exception as exc:  # a caller's function may raise anything
-                answers.append([None, None, None, type(exc).__name__, str(exc)])
-        return pd.DataFrame(answers, columns=columns + ["error_type", "error_message"], index=batch.index)
+                if left:
+                    continue
+                if len(rows) == 1:
+                    return pd.DataFrame([[None, None, None, type(exc).__name__, str(exc)]],
+                                        columns=columns + ["error_type", "error_message"], index=rows.index)
+        half = len(rows) // 2
+        return pd.concat([answered(rows.iloc[:half]), answered(rows.iloc[half:])])
 
     def label_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            try:
-                answer = fn(batch)[columns].set_axis(batch.index)
-                answer = answer.assign(error_type=None, error_message=None)
-            except Exception:
-                answer = one_by_one(batch)
-            yield pd.concat([batch[[f.name for f in base]], answer], axis=1)
+        with ThreadPoolExecutor(workers) as pool:
+            for batch in batches:
+                size = rows_a_call or max(1, len(batch))
+                pieces = [batch.iloc[k:k + size] for k in range(0, len(batch), size)]
+                for piece, answer in zip(pieces, pool.map(answered, pieces)):
+                    yield pd.concat([piece[[f.name for f in base]], answer], axis=1)
 
     return asked.mapInPandas(label_batches, out).withColumns({
         "langfuse_trace_id": values.trace_id(F.col("service_request_id"), settings),

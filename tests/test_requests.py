@@ -178,3 +178,28 @@ def test_median_of_a_group_of_a_million_values(spark):
         seen += n
     found = weighted_median(counts, ["g"], "x", "n", "big").collect()
     assert [(r.g, r.median) for r in found] == [("g", (middle[0] + middle[-1]) / 2)]
+
+
+def test_function_strategy_retries_times_out_and_halves(spark):
+    """One row answers at the second attempt only, one never in time, one answers too many rows."""
+    import time
+
+    import pandas as pd
+
+    met = set()
+
+    def label(batch: pd.DataFrame) -> pd.DataFrame:
+        ids = set(batch["service_request_id"])
+        if "3" in ids and "3" not in met:
+            met.add("3")
+            raise ConnectionError("once")
+        if "5" in ids:
+            time.sleep(3)
+        times = 2 if "7" in ids else 1
+        return pd.concat([pd.DataFrame({"urgency_label": "Low", "urgency_score": 0.5, "llm_reasoning": "x"}, index=batch.index)] * times)
+
+    rows = table(spark, *[request(str(k)) for k in range(9)]).select(schemas.REQUEST.fieldNames()).coalesce(1)
+    got = {r.service_request_id: r.error_type for r in classify.classify(
+        rows, "function", fn=label, at=F.lit(T0), workers=3, rows_a_call=4, attempts=2, seconds=0.5).collect()}
+    assert got == {str(k): {5: "TimeoutError", 7: "ValueError"}.get(k) for k in range(9)}
+    assert classify.classify(rows.limit(0), "function", fn=label, at=F.lit(T0)).collect() == []
