@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,14 @@ LARGEST_SMALL = 256
 TOGETHER = 2_000_000
 # Signatures of sets that a task remembers, not to publish equal ones twice.
 REMEMBERED = 200_000
-# Bits of a set's sketch, as 64-bit words. Two sets differ in at least as many elements as their sketches in bits.
+# Bits of a set's sketch, as 64-bit words, and of the second one of a large set. Two sets differ in at least as many
+# elements as their sketches in bits.
 SKETCH_WORDS = 16
+WIDE_WORDS = 64
+# A pair is settled by shortened hashes only where a wrong answer is less likely than this.
+DOUBT = 1e-18
+# Bytes of shortened sets that a task hands on together.
+TOGETHER_BYTES = 16_000_000
 # Rounds in which every member of a list tries one other before the rest of the pairs are looked at.
 ATTEMPTS = 3
 
@@ -77,28 +84,35 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return int(mixed(s).sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(mixed(s ^ np.uint64(0x5851F42D4C957F2D))).view(np.int64))
 
 
-def _sketch(s: np.ndarray) -> list[int]:
-    """The bits that a set's elements hash to."""
-    bits = np.zeros(64 * SKETCH_WORDS, dtype=bool)
-    bits[(mixed(s ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(len(bits))).astype(np.int64)] = True
-    return np.packbits(bits, bitorder="little").view("<i8").tolist()
+def _sketch(s: np.ndarray, words: int = SKETCH_WORDS) -> list[int]:
+    """Per bit, whether an odd number of the set's elements hash to it. What two sets share cancels out, so their
+    sketches differ by the sketch of what they don't share, however large they are."""
+    at = (mixed(s ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(64 * words)).astype(np.int64)
+    odd = np.bincount(at, minlength=64 * words) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8").tolist()
 
 
-def _survey(docs: DataFrame, size: int) -> DataFrame:
-    """Per document (kind 0) its set's size, signature and sketch; of some sets at a time the shingles that recur in
+def _is_wide(n: int, at_least: Ratio) -> bool:
+    """Whether the sets a set of size n can link with may differ from it in over a third of a sketch's bits."""
+    num, den = at_least
+    return 3 * 2 * n * (den - num) > 64 * SKETCH_WORDS * (den + num)
+
+
+def _survey(docs: DataFrame, size: int, at_least: Ratio) -> DataFrame:
+    """Per document (kind 0) its set's size, signature and sketches; of some sets at a time the shingles that recur in
     them (kind 1, with their number) and the rows of their lists (kind 2: elements, sum of squared lengths)."""
-    types = (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+    types = (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
 
     def counted(rows: list, sets: list[np.ndarray]) -> pa.RecordBatch:
         if sets:
             u, c = np.unique(np.concatenate(sets), return_counts=True)
             often = c >= max(3, len(sets) // 1000)
-            rows += [(1, None, n, h, 0, None) for h, n in zip(u[often].view(np.int64).tolist(), c[often].tolist())]
+            rows += [(1, None, n, h, 0, None, None) for h, n in zip(u[often].view(np.int64).tolist(), c[often].tolist())]
             usual = c[~often].astype(np.int64)
-            rows.append((2, None, int(usual.sum()), int((usual * usual).sum()), 0, None))
+            rows.append((2, None, int(usual.sum()), int((usual * usual).sum()), 0, None, None))
         return pa.RecordBatch.from_arrays(
             [pa.array(x, t) for x, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types],
-            names=["kind", "doc_id", "n", "h1", "h2", "sketch"])
+            names=["kind", "doc_id", "n", "h1", "h2", "sketch", "wide"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,10 +120,11 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
             for doc_id, text in _texts(batch):
                 s = shingle_set(text, size)
                 if not len(s):
-                    rows.append((0, doc_id, 0, 0, 0, None))
+                    rows.append((0, doc_id, 0, 0, 0, None, None))
                     continue
                 signature = _signature(s)
-                rows.append((0, doc_id, len(s), *signature, _sketch(s)))
+                wide = _sketch(s, WIDE_WORDS) if _is_wide(len(s), at_least) else None
+                rows.append((0, doc_id, len(s), *signature, _sketch(s), wide))
                 if signature not in seen:
                     seen.add(signature)
                     sets.append(s)
@@ -119,7 +134,7 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
                     rows, sets, seen, held = [], [], set(), 0
             yield counted(rows, sets)
 
-    return docs.mapInArrow(run, "kind byte, doc_id long, n long, h1 long, h2 long, sketch array<long>")
+    return docs.mapInArrow(run, "kind byte, doc_id long, n long, h1 long, h2 long, sketch array<long>, wide array<long>")
 
 
 def _keys(docs: DataFrame, size: int, at_least: Ratio, small: int, hashes: np.ndarray, counts: np.ndarray) -> DataFrame:
@@ -185,11 +200,92 @@ def _within_reach(at_least: Ratio, n: str, m: str, reach_n: str, reach_m: str):
     return F.expr(f"least({reach_n}, {reach_m}) * {num + den} >= {num} * ({n} + {m})")
 
 
-def _alike(at_least: Ratio, n: str, m: str, sketch_n: str, sketch_m: str):
-    """The sketches differ in no more bits than sets of these sizes and this similarity in elements."""
+def _alike(at_least: Ratio):
+    """The sketches of sides a and b differ in no more bits than sets of these sizes and this similarity in elements."""
+    num, den = at_least
+
+    def bits(name: str, words: int) -> str:
+        differing = " + ".join(f"bit_count({name}_a[{k}] ^ {name}_b[{k}])" for k in range(words))
+        return f"({differing}) * {num + den} <= {den - num} * (n_a + n_b)"
+
+    return F.expr(f"{bits('sketch', SKETCH_WORDS)} AND (wide_a IS NULL OR wide_b IS NULL OR {bits('wide', WIDE_WORDS)})")
+
+
+def _differ(n: int, at_least: Ratio) -> float:
+    """In about how many elements a set of size n differs from one at the edge of the similarity."""
+    return n * (at_least[1] - at_least[0]) / (at_least[1] + at_least[0])
+
+
+def _width(n: int, at_least: Ratio) -> int:
+    """Bytes of a hash that are kept of a set of size n: all of a small set's or where few would leave doubt."""
+    fits = (w for w in (3, 4) if 32 * _differ(n, at_least) ** 2 <= 256 ** w)
+    return 8 if n <= 64 else next(fits, 8)
+
+
+def _chance(differing: float, width: int) -> int:
+    """How many equal shortened hashes of different elements are conceivable (beyond DOUBT) in that many."""
+    rate, k = differing * differing / 256 ** width, 0
+    while rate ** (k + 1) / math.factorial(k + 1) > DOUBT:
+        k += 1
+    return k
+
+
+def _shortened(s: np.ndarray, width: int) -> bytes:
+    """The lowest bytes of a set's hashes, sorted, highest byte of all first; a first byte tells how many each has."""
+    low = np.sort(s if width == 8 else s & np.uint64(256 ** width - 1))
+    return bytes([width]) + low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T[::-1].tobytes()
+
+
+def _restored(short: bytes) -> tuple[np.ndarray, int]:
+    """The sorted shortened hashes and their number of bytes."""
+    width = short[0]
+    planes = np.frombuffer(short, np.uint8, offset=1).reshape(width, -1)[::-1]
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel(), width
+
+
+def _judged(a: tuple[np.ndarray, int], b: tuple[np.ndarray, int], at_least: Ratio) -> bool | None:
+    """Whether two shortened sets reach the similarity; None where shortening leaves it open.
+
+    Shared elements stay shared, so what is found in common, and what fell together within the sets, bounds the
+    overlap from above; different elements that became equal are few, which bounds it from below.
+    """
     num, den = at_least
-    bits = " + ".join(f"bit_count({sketch_n}[{k}] ^ {sketch_m}[{k}])" for k in range(SKETCH_WORDS))
-    return F.expr(f"({bits}) * {num + den} <= {den - num} * ({n} + {m})")
+    n, m, width = len(a[0]), len(b[0]), min(a[1], b[1])
+    x, y = (distinct(v if w == width else v & np.uint64(256 ** width - 1)) for v, w in (a, b))
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    needed = -(-num * (n + m) // (num + den))
+    if common + min(n - len(x), m - len(y)) < needed:
+        return False
+    if width == 8:
+        return True
+    return True if common - _chance(max(n, m) - needed, width) >= needed else None
+
+
+def _short_sets(docs: DataFrame, size: int, at_least: Ratio, names: str) -> DataFrame:
+    """The shortened set of every row of (doc_id, text, other): (doc_id, other, s) under the given names."""
+    first, second = names.split()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            others = batch.column(2).to_pylist()
+            rows, held = [], 0
+            for (doc_id, text), other in zip(_texts(batch), others):
+                s = shingle_set(text, size)
+                rows.append((doc_id, other, _shortened(s, _width(len(s), at_least))))
+                held += len(rows[-1][2])
+                if held >= TOGETHER_BYTES:
+                    yield made(rows)
+                    rows, held = [], 0
+            if rows:
+                yield made(rows)
+
+    def made(rows: list) -> pa.RecordBatch:
+        arrays = [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))]
+        return pa.RecordBatch.from_arrays(arrays, names=[first, second, f"s_{first}"])
+
+    return docs.mapInArrow(run, f"{first} long, {second} long, s_{first} binary")
 
 
 def _sets(docs: DataFrame, size: int, names: str) -> DataFrame:
@@ -208,16 +304,45 @@ def _sets(docs: DataFrame, size: int, names: str) -> DataFrame:
     return docs.mapInArrow(run, f"{first} long, {second} long, s_{first} array<long>")
 
 
-def _verified(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, size: int, at_least: Ratio) -> DataFrame:
-    """The pairs (a, b) of a written table whose sets reach the similarity. Sizes and sketches travel first and
-    settle the pairs that differ too much; of the others, the documents' sets are built, one set per pair travels
-    to the other's, and a set with many partners is split by AQE."""
-    a, b = (sketches.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for x in "ab")
-    pairs = materialise(pairs.join(a, "a").join(b, "b").where(_alike(at_least, "n_a", "n_b", "s_a", "s_b")).select("a", "b"), "join-alike")
+def _sides(docs: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The texts (doc_id, text, b) of the first and of the second documents of a written table of pairs."""
     partners = materialise(pairs.select("b").distinct(), "join-partners")
-    left = _sets(docs.join(bounded(pairs), F.col("doc_id") == F.col("a")).select("doc_id", "text", "b"), size, "a b")
-    right = _sets(docs.join(bounded(partners), F.col("doc_id") == F.col("b")).select("doc_id", "text", "b"), size, "b same")
-    both = left.join(right, "b").withColumn("common", F.size(F.array_intersect("s_a", "s_b")))
+    return (docs.join(bounded(pairs), F.col("doc_id") == F.col("a")).select("doc_id", "text", "b"),
+            docs.join(bounded(partners), F.col("doc_id") == F.col("b")).select("doc_id", "text", "b"))
+
+
+def _settled(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, size: int, at_least: Ratio) -> DataFrame:
+    """(a, b, sure) of the pairs of a written table that reach the similarity, surely or possibly. Sizes and sketches
+    travel first and settle the pairs that differ too much; of the others one shortened set per pair travels to the
+    other's, and a set with many partners is split by AQE."""
+    a, b = (sketches.select(F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "sketch", "wide")]) for x in "ab")
+    partners = materialise(pairs.select("b").distinct(), "join-partners")
+    both = a.join(bounded(pairs), "a").join(b.join(bounded(partners), "b"), "b")
+    alike = materialise(both.where(_alike(at_least)).select("a", "b"), "join-alike")
+    left, right = _sides(docs, alike)
+    near = _short_sets(left, size, at_least, "a b").join(_short_sets(right, size, at_least, "b same"), "b").select("a", "b", "s_a", "s_b")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, whole = None, None
+        for batch in batches:
+            rows = []
+            for k, (a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                if b != before:
+                    before, whole = b, _restored(batch.column(3)[k].as_py())
+                sure = _judged(_restored(batch.column(2)[k].as_py()), whole, at_least)
+                if sure is not False:
+                    rows.append((a, b, bool(sure)))
+            columns = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_()))], names=["a", "b", "sure"])
+
+    return near.mapInArrow(judge, "a long, b long, sure boolean")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, size: int, at_least: Ratio) -> DataFrame:
+    """The pairs (a, b) of a written table whose sets reach the similarity, by the whole sets."""
+    left, right = _sides(docs, pairs)
+    both = _sets(left, size, "a b").join(_sets(right, size, "b same"), "b").withColumn("common", F.size(F.array_intersect("s_a", "s_b")))
     return both.where(f"common * {at_least[1]} >= {at_least[0]} * (size(s_a) + size(s_b) - common)").select("a", "b")
 
 
@@ -231,12 +356,14 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
     * small sets publish all two-element subsets of their prefix, large sets the elements of theirs,
       into inverted lists; the boundary between small and large is where the estimated rows are fewest.
       Sets that a large one can match publish elements too, so a pair on either side of it is found;
+    * lists with the same members are one list, in which a document has the largest of its reaches;
     * each list proposes to its members one of them, at first that with the fewest rare elements; a set is
       checked against the one that most of its lists propose. Links give components, and the lists that
       still hold several propose anew, ``ATTEMPTS`` times in all. Then only members of different components in one list pair
       with each other, if sizes, places in the lists and sketches allow the similarity, and are checked;
-    * a check compares sketches first, sets of bits that elements hash to: sets differ in at least as many elements
-      as their sketches in bits, so no link is lost and few sets travel.
+    * a check compares sketches first, the parities of bits that elements hash to: sets differ in at least as many
+      elements as their sketches in bits, so no link is lost and few sets travel. Those that do are shortened to the
+      lowest bytes of their hashes; the few pairs which that leaves open are checked by whole hashes at the end.
 
     So a group of copies costs as many pairs as members, and no linked pair of different components is
     missed: the lists have every pair that can reach the similarity.
@@ -248,9 +375,9 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
     if not at_least[1] < 2 * at_least[0] <= 2 * at_least[1]:
         raise ValueError("the similarity must be above one half and at most one")
     docs = one_per_id(docs, "doc_id", "text")
-    survey = materialise(_survey(docs, size), "join-survey")
+    survey = materialise(_survey(docs, size, at_least), "join-survey")
     sets = survey.where("kind = 0")
-    sketches = sets.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "sketch")
+    sketches = sets.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "sketch", "wide")
     top = (survey.where("kind = 1").groupBy("h1").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "h1").limit(FREQUENT).toPandas())
     hashes, counts = top["h1"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
@@ -260,41 +387,51 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
     elements, squares = survey.where("kind = 2").agg(F.sum("n"), F.sum("h1")).first()
     small = boundary(sizes, (squares or 0) / elements if elements else 1.0, at_least)
 
-    keys = _keys(docs, size, at_least, small, hashes[order], counts[order])
-    repeated = bounded(materialise(keys.groupBy("key").count().where("count > 1").select("key"), "join-keys"))
-    lists = materialise(keys.join(repeated, "key", "left_semi").select(
-        "key", "doc", F.expr("packed >> 32").alias("n"), F.expr("packed & 4294967295").alias("reach")), "join-lists")
-    open_lists, nodes, tried, linked = lists.withColumn("component", F.col("doc")), None, None, None
+    keys = materialise(_keys(docs, size, at_least, small, hashes[order], counts[order]), "join-keys")
+    # Lists with the same members get the same number. Should others get it too, they are one list, and no pair is lost.
+    repeated = bounded(materialise(
+        keys.groupBy("key").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("doc")).alias("list"))
+        .where("members > 1").select("key", "list"), "join-repeated"))
+    lists = (keys.join(repeated, "key").groupBy("list", "doc", F.expr("packed >> 32").alias("n"))
+             .agg(F.max(F.expr("packed & 4294967295")).alias("reach"), F.count("*").alias("keys")).withColumnRenamed("list", "key"))
+    open_lists = materialise(lists, "join-lists").withColumn("component", F.col("doc"))
+    nodes, tried, linked, unsure = None, None, None, None
     for attempt in range(ATTEMPTS):
         preference = F.expr("n - reach") if attempt == 0 else F.xxhash64("doc", F.lit(attempt))
         centre = open_lists.groupBy("key").agg(F.min(F.struct(preference.alias("rank"), "doc", "n", "reach", "component")).alias("hub"))
         near = (open_lists.join(centre, "key").where("component <> hub.component")
                 .where(_within_reach(at_least, "n", "hub.n", "reach", "hub.reach"))
-                .groupBy("doc", F.col("hub.doc").alias("hub")).agg(F.count("*").alias("lists")))
+                .groupBy("doc", F.col("hub.doc").alias("hub")).agg(F.sum("keys").alias("lists")))
         tries = (near.groupBy("doc").agg(F.max_by("hub", F.struct("lists", "hub")).alias("hub"))
                  .select(F.col("doc").alias("a"), F.col("hub").alias("b")))
         if tried is not None:
             tries = tries.join(tried, ["a", "b"], "left_anti")
         tries = materialise(tries, "join-tries")
         tried = tries if tried is None else tried.unionByName(tries)
-        found = materialise(_verified(docs, sketches, tries, size, at_least), "join-links")
+        settled = materialise(_settled(docs, sketches, tries, size, at_least), "join-links")
+        doubtful = settled.where("NOT sure").select("a", "b")
+        unsure = doubtful if unsure is None else unsure.unionByName(doubtful)
+        found = settled.where("sure").select("a", "b")
         linked = found if linked is None else found.unionByName(nodes.where("node <> component").select(
             F.col("node").alias("a"), F.col("component").alias("b")))
         nodes = materialise(connected_components(linked, "a", "b"), "join-nodes")
-        grouped = (lists.join(bounded(nodes.withColumnRenamed("node", "doc")), "doc", "left")
-                   .select("key", "doc", "n", "reach", F.coalesce("component", "doc").alias("component")))
+        # A list whose members are of one component stays so.
+        grouped = (open_lists.drop("component").join(bounded(nodes.withColumnRenamed("node", "doc")), "doc", "left")
+                   .withColumn("component", F.coalesce("component", "doc")))
         mixed_keys = (grouped.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                       .where("lo <> hi").select("key"))
         open_lists = materialise(grouped.join(mixed_keys, "key", "left_semi"), "join-open")
-    open_lists = open_lists.join(sketches.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
-    x, y = (open_lists.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "reach", "component", "sketch")]) for side in "ab")
+    open_lists = open_lists.join(sketches.select(F.col("doc_id").alias("doc"), "sketch", "wide"), "doc")
+    x, y = (open_lists.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "reach", "component", "sketch", "wide")])
+            for side in "ab")
     rest = (x.join(y, "key").where("doc_a < doc_b AND component_a <> component_b")
-            .where(_within_reach(at_least, "n_a", "n_b", "reach_a", "reach_b"))
-            .where(_alike(at_least, "n_a", "n_b", "sketch_a", "sketch_b"))
+            .where(_within_reach(at_least, "n_a", "n_b", "reach_a", "reach_b")).where(_alike(at_least))
             .select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct())
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = materialise(rest.join(tried, ["a", "b"], "left_anti"), "join-rest")
-    more = materialise(_verified(docs, sketches, rest, size, at_least), "join-more")
+    settled = materialise(_settled(docs, sketches, rest, size, at_least), "join-more")
+    unsure = materialise(unsure.unionByName(settled.where("NOT sure").select("a", "b")).distinct(), "join-unsure")
+    more = settled.where("sure").select("a", "b").unionByName(materialise(_verified(docs, unsure, size, at_least), "join-whole"))
 
     same = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "h1", "h2").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("members")).where("members > 1")
