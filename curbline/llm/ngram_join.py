@@ -203,12 +203,11 @@ def _within_reach(at_least: Ratio, n: str, m: str, reach_n: str, reach_m: str):
 def _alike(at_least: Ratio):
     """The sketches of sides a and b differ in no more bits than sets of these sizes and this similarity in elements."""
     num, den = at_least
-
-    def bits(name: str, words: int) -> str:
-        differing = " + ".join(f"bit_count({name}_a[{k}] ^ {name}_b[{k}])" for k in range(words))
-        return f"({differing}) * {num + den} <= {den - num} * (n_a + n_b)"
-
-    return F.expr(f"{bits('sketch', SKETCH_WORDS)} AND (wide_a IS NULL OR wide_b IS NULL OR {bits('wide', WIDE_WORDS)})")
+    # The large sketches are counted by a loop: a sum of so many terms is too long a method for the JVM to compile.
+    narrow = " + ".join(f"bit_count(sketch_a[{k}] ^ sketch_b[{k}])" for k in range(SKETCH_WORDS))
+    wide = "aggregate(zip_with(wide_a, wide_b, (x, y) -> bit_count(x ^ y)), 0, (total, bits) -> total + bits)"
+    within = f"* {num + den} <= {den - num} * (n_a + n_b)"
+    return F.expr(f"({narrow}) {within} AND (wide_a IS NULL OR wide_b IS NULL OR {wide} {within})")
 
 
 def _differ(n: int, at_least: Ratio) -> float:
