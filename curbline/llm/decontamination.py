@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -12,17 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import one_per_id, word_hashes
+from curbline.llm.common import mixed, one_per_id, word_hashes
 from curbline.session import materialise
 
-# Fixed sizes of what is broadcast: counters of document frequencies, columns of the term matrix, and
-# the passages that one block of queries holds.
-COUNTERS = 1 << 18
+# Fixed sizes of what is broadcast: columns of the term matrix, and the passages that one block of queries holds.
 COLUMNS = 1 << 13
 RANK, EXTRA, ROUNDS = 192, 16, 2
 BLOCK_ITEMS = 2_000
-# Passages of documents that take part in the fit besides all benchmark passages, at most about.
-FIT_PASSAGES = 300
+# Rows that the documents' rows are added up in, each with a sign, for the fit of the latent space.
+FOLDED_ROWS = 256
 
 WINDOW, STRIDE = 64, 32
 # Latent cosine from which a window and a passage are compared word by word.
@@ -62,28 +59,76 @@ def _binary_texts(batch: pa.RecordBatch, column: int = 1) -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """In how many documents words of each of ``COUNTERS`` hash classes are (the words' sum), and how many documents there are."""
+def vocabulary_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(doc_id, at, times): how often each document's whole text has the words of a vocabulary, by their index."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, rows = np.zeros(COUNTERS, np.int64), 0
+        vocabulary = shared.value
+        for batch in batches:
+            found = [np.unique(vocabulary.find(plain_words(t))[1], return_counts=True) for t in _binary_texts(batch)]
+            offsets = pa.array(np.cumsum([0, *(len(at) for at, _ in found)]), pa.int32())
+            flat = [np.concatenate(x).astype(np.int32) if found else np.zeros(0, np.int32) for x in (zip(*found) if found else ((), ()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.ListArray.from_arrays(offsets, pa.array(x)) for x in flat]],
+                                             names=["doc_id", "at", "times"])
+
+    return docs.mapInArrow(run, "doc_id long, at array<int>, times array<int>")
+
+
+def document_frequencies(counts: DataFrame, words: int) -> tuple[np.ndarray, int]:
+    """In how many documents each word of a vocabulary is, and how many documents there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, rows = np.zeros(words, np.int64), 0
         for batch in batches:
             rows += batch.num_rows
-            held: Counter[bytes] = Counter()
-            for text in _binary_texts(batch, 0):
-                held.update(set(plain_words(text)))
-            classes = (word_hashes(list(held)) % np.uint64(COUNTERS)).astype(np.int64)
-            np.add.at(count, classes, np.fromiter(held.values(), np.int64, len(held)))
+            count += np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False), minlength=words)
         at = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(count[at], rows))], names=["at", "n"])
 
-    found = docs.select("text").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(COUNTERS, np.int64)
+    found = counts.select("at").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(words, np.int64)
     real = found[found["at"] >= 0]
     out[real["at"].to_numpy()] = real["n"].to_numpy()
     return out, int(found.loc[found["at"] < 0, "n"].sum())
 
 
+def folded_rows(counts: DataFrame, vocabulary: Vocabulary, total: int) -> DataFrame:
+    """(at, x): the TF-IDF rows of all documents, added up in ``FOLDED_ROWS`` rows.
+
+    A hash of the doc_id gives a document's row and sign, so what different documents add to the rows' product with
+    their transpose cancels out on average, and what is left is the sum over every single document. The rows are as
+    long, on average, as one document's.
+    """
+    shared = counts.sparkSession.sparkContext.broadcast((vocabulary.columns, vocabulary.weights))
+    scale = np.sqrt(FOLDED_ROWS / max(1, total))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns, weights = shared.value
+        out = np.zeros(FOLDED_ROWS * COLUMNS)
+        for batch in batches:
+            sizes = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(len(sizes)), sizes)
+            at, times = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (1, 2))
+            x = times * weights[at]
+            length = np.sqrt(np.bincount(rows, weights=x * x, minlength=len(sizes)))
+            dealt = mixed(batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False).view(np.uint64) ^ np.uint64(0x9FB21C651E98DF25))
+            sign = np.where(dealt >> np.uint64(63), 1.0, -1.0) / np.maximum(length, 1e-9)
+            row = (dealt % np.uint64(FOLDED_ROWS)).astype(np.int64)
+            np.add.at(out, row[rows] * COLUMNS + columns[at], x * sign[rows])
+        whole = out.reshape(FOLDED_ROWS, COLUMNS)
+        used = np.flatnonzero(whole.any(axis=1)).tolist()
+        for k in used:
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([whole[k].tobytes()], pa.binary())], names=["row", "sums"])
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(b) for b in group["sums"]) * scale
+        at = np.flatnonzero(total)
+        return pd.DataFrame({"at": [at.tolist()], "x": [total[at].tolist()]})
+
+    return counts.mapInArrow(run, "row int, sums binary").groupBy("row").applyInPandas(add, "at array<int>, x array<double>")
+
+
 def randomised_svd(rows: DataFrame, columns: int, rank: int, extra: int, rounds: int, seed: int) -> np.ndarray:
     """An orthonormal basis (columns x rank) of the leading right singular space of a sparse matrix.
 
@@ -126,15 +171,19 @@ def randomised_svd(rows: DataFrame, columns: int, rank: int, extra: int, rounds:
 
 
 class Vocabulary:
-    """The words of a block of benchmark passages: hash, matrix column and weight of each."""
+    """The words of a block of benchmark passages: hash, matrix column and, once weighed, weight of each."""
 
-    def __init__(self, words: set[bytes], frequency: np.ndarray, total: int):
+    def __init__(self, words: set[bytes]):
         ordered = sorted(words)
         hashes, index = np.unique(word_hashes(ordered), return_inverse=True)
         self.hashes = hashes
         self.index = dict(zip(ordered, index.tolist()))
         self.columns = (hashes % np.uint64(COLUMNS)).astype(np.int64)
-        self.weights = np.log((1 + total) / (1 + np.minimum(frequency[(hashes % np.uint64(COUNTERS)).astype(np.int64)], total)))
+        self.weights = np.zeros(len(hashes))
+
+    def weigh(self, frequency: np.ndarray, total: int) -> None:
+        """Weigh the words by the documents, of ``total``, that each is in."""
+        self.weights = np.log((1 + total) / (1 + frequency))
 
     def find(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Places of the words that are in the vocabulary, and their index there."""
@@ -253,26 +302,17 @@ def _cut(benchmark: DataFrame) -> DataFrame:
     return given.mapInArrow(run, "item_id long, passage binary, answer binary").distinct()
 
 
-def _search(docs: DataFrame, block: list[tuple[int, list[bytes], list[bytes]]], frequency: np.ndarray, total: int,
+def _search(docs: DataFrame, block: list[tuple[int, list[bytes], list[bytes]]],
             min_cosine: float, copied: float, paraphrased: float, answered: float) -> DataFrame:
     """Hits of one block of passages (item, words, answer) in all documents."""
     spark = docs.sparkSession
     passages = [p for _, p, _ in block]
-    vocabulary = Vocabulary({w for p in passages for w in p}, frequency, total)
+    vocabulary = Vocabulary({w for p in passages for w in p})
+    counts = materialise(vocabulary_counts(docs, vocabulary), "vocabulary-counts")
+    frequency, total = document_frequencies(counts, len(vocabulary.hashes))
+    vocabulary.weigh(frequency, total)
     own = spark.createDataFrame([(c.tolist(), x.tolist()) for c, x in map(vocabulary.row, passages)], "at array<int>, x array<double>")
-
-    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text in _binary_texts(batch):
-                if parts := _passages(plain_words(text)):
-                    rows.append(vocabulary.row(parts[int(word_hashes([text])[0] % np.uint64(len(parts)))][1]))
-            yield pa.RecordBatch.from_arrays([pa.array([c.tolist() for c, _ in rows], pa.list_(pa.int32())),
-                                              pa.array([x.tolist() for _, x in rows], pa.list_(pa.float64()))], names=["at", "x"])
-
-    share = int((1 << 20) * min(1.0, FIT_PASSAGES / max(1, total)))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).mapInArrow(sampled, "at array<int>, x array<double>")
-    rows = materialise(own.unionByName(sample), "svd-rows")
+    rows = materialise(own.unionByName(folded_rows(counts, vocabulary, total)), "svd-rows")
     basis = randomised_svd(rows, COLUMNS, min(RANK, COLUMNS - EXTRA), EXTRA, ROUNDS, 5).astype(np.float32)
     shared = spark.sparkContext.broadcast((
         vocabulary, LatentSpace(passages, vocabulary, basis), RareWords(passages, vocabulary, paraphrased),
@@ -329,8 +369,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, min_cosine: float = MI
     answer's of ``answered``). ``place`` is a word before the hit.
 
     Passages and the ``WINDOW`` words in a window's middle are TF-IDF rows: the words of the benchmark with document
-    frequencies of all documents. A distributed randomised SVD of the block's passages and one passage, from any
-    place of the text, of each of about ``FIT_PASSAGES`` documents gives a latent space; all pairs with a cosine of
+    frequencies of all documents. A distributed randomised SVD of the block's passages and the whole texts of all
+    documents (:func:`folded_rows`) gives a latent space; all pairs with a cosine of
     ``min_cosine`` or more there are compared word by word. As a latent space loses some pairs, those that share
     enough of a passage's rarest words for the overlap to be possible (:class:`RareWords`) are compared too, so
     that every hit is found. ``way`` is ``latent`` if the cosine brought the told match up, else ``words``.
@@ -346,13 +386,12 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, min_cosine: float = MI
     docs = one_per_id(docs, "doc_id", "text")
     passages = materialise(_cut(benchmark), "passages")
     blocks = -(-passages.count() // BLOCK_ITEMS)
-    frequency, total = document_frequencies(docs) if blocks else (np.zeros(0), 0)
     hits = None
     for b in range(blocks):
         rows = passages.where(F.pmod(F.xxhash64("item_id", "passage"), F.lit(blocks)) == b).collect()
         block = sorted((r["item_id"], bytes(r["passage"]).split(), bytes(r["answer"]).split()) for r in rows)
         if block:
-            found = _search(docs, block, frequency, total, min_cosine, copied, paraphrased, answered)
+            found = _search(docs, block, min_cosine, copied, paraphrased, answered)
             hits = found if hits is None else hits.unionByName(found)
     if hits is None:
         return docs.sparkSession.createDataFrame([], HITS)

@@ -305,6 +305,22 @@ def test_decontamination_finds_all_that_brute_force_finds(spark):
     assert {(r["doc_id"], r["item_id"]): (r["overlap"], r["answer"]) for r in found.collect()} == want and len(want) > 55
 
 
+def test_latent_space_is_fitted_on_every_document(spark):
+    """Frequencies are of all documents, and each one, the null doc_id's too, alters the rows of the fit."""
+    n = 700
+    table = spark.createDataFrame([(i if i else None, f"w{i} W{i}, common x") for i in range(n)], "doc_id long, text string")
+    vocabulary = decontamination.Vocabulary({f"w{i}".encode() for i in range(n)} | {b"common", b"absent"})
+    counts = decontamination.vocabulary_counts(table, vocabulary).cache()
+    frequency, total = decontamination.document_frequencies(counts, len(vocabulary.hashes))
+    assert total == n and sorted(frequency.tolist()) == [0] + [1] * n + [n]
+    vocabulary.weigh(frequency, total)
+    rows = decontamination.folded_rows(counts, vocabulary, total).collect()
+    met = {c for r in rows for c in r["at"]}
+    assert met == set(vocabulary.columns[frequency == 1].tolist())
+    norms = sum(x * x for r in rows for x in r["x"])
+    assert 0.8 < norms / decontamination.FOLDED_ROWS < 1.2
+
+
 def test_decontamination_searches_every_text_of_an_item(spark, tmp_path, monkeypatch):
     texts = {k: " ".join(f"{k}{n}" for n in range(30)) for k in "abcd"}
     table = spark.createDataFrame([(i, f"some words {texts[k]} and more") for i, k in enumerate("abcd")], "doc_id long, text string")
