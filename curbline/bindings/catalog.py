@@ -256,15 +256,15 @@ def _by_function(spark: SparkSession, d: str) -> DataFrame:
     met: set[int] = set()
 
     def rate(rows):
-        numbers = rows["service_request_id"].str[1:].astype("int64")
-        if (numbers % 101 == 0).any():
+        numbers = [int(i[1:]) for i in rows["service_request_id"]]
+        if any(n % 101 == 0 for n in numbers):
             raise ValueError("refused")
-        shaky = set(numbers[numbers % 19 == 0])
+        shaky = {n for n in numbers if n % 19 == 0}
         if not shaky <= met:
             met.update(shaky)
             raise ConnectionError("try again")
-        labels = numbers.map(lambda n: "Odd" if n % 23 == 0 else TIERS[n % len(TIERS)])
-        return pd.DataFrame({"urgency_label": labels, "urgency_score": numbers % 100 / 100, "llm_reasoning": rows["prompt"].str.len().astype(str)})
+        labels = ["Odd" if n % 23 == 0 else TIERS[n % len(TIERS)] for n in numbers]
+        return pd.DataFrame({"urgency_label": labels, "urgency_score": [n % 100 / 100 for n in numbers], "llm_reasoning": [str(len(p)) for p in rows["prompt"]]})
 
     rows = inputs.service_requests(spark, d).select(schemas.REQUEST.fieldNames())
     at = F.lit("2024-03-01").cast("timestamp_ntz")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.config import Settings
-from curbline.session import materialise, prepare
+from curbline.session import materialise, prepare, spread
 from curbline.sources.calendar import fiscal_calendar
 
 SETTINGS = Settings(
@@ -235,7 +235,7 @@ def _project(spark: SparkSession, sql: str, **views: DataFrame) -> DataFrame:
 
 def service_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return _project(spark, REQUESTS_SQL, events=table(spark, sf_dir, "events"))
+    return _project(spark, REQUESTS_SQL, events=spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def portal_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +279,7 @@ def calendar(spark: SparkSession, settings: Settings = SETTINGS) -> DataFrame:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return _project(spark, PAGES_SQL, events=table(spark, sf_dir, "events"))
+    return _project(spark, PAGES_SQL, events=spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

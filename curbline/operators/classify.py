@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from queue import Empty, Queue
-from threading import Thread
+from threading import Thread, local
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -99,22 +99,41 @@ def _rules(
     })
 
 
-def within(seconds: float | None, fn: Callable, *args):
-    """``fn(*args)``, or TimeoutError if it takes longer than that. None sets no limit."""
-    if seconds is None:
-        return fn(*args)
-    done: Queue = Queue()
+class _Caller:
+    """A thread that makes calls one after another, so that a call with a time limit doesn't need one of its own."""
+
+    def __init__(self) -> None:
+        self.asked, self.done = Queue(), Queue()
+        Thread(target=_make_calls, args=(self.asked, self.done), daemon=True).start()
+
+    def __del__(self) -> None:
+        self.asked.put(None)
+
 
-    def run() -> None:
+def _make_calls(asked: Queue, done: Queue) -> None:
+    while (call := asked.get()) is not None:
         try:
-            done.put((fn(*args), None))
+            done.put((call[0](*call[1]), None))
         except Exception as exc:
             done.put((None, exc))
+        del call
 
-    Thread(target=run, daemon=True).start()
+
+_callers = local()
+
+
+def within(seconds: float | None, fn: Callable, *args):
+    """``fn(*args)``, or TimeoutError if it takes longer than that. None sets no limit."""
+    if seconds is None:
+        return fn(*args)
+    if getattr(_callers, "own", None) is None:
+        _callers.own = _Caller()
+    caller = _callers.own
+    caller.asked.put((fn, args))
     try:
-        answer, problem = done.get(timeout=seconds)
+        answer, problem = caller.done.get(timeout=seconds)
     except Empty:
+        _callers.own = None
         raise TimeoutError(f"no answer within {seconds} s") from None
     if problem is not None:
         raise problem
@@ -153,18 +172,31 @@ def _function(
         + _ERRORS
     )
 
-    def answered(rows: pd.DataFrame) -> pd.DataFrame:
-        for left in reversed(range(attempts)):
-            try:
-                return within(seconds, fn, rows)[columns].set_axis(rows.index).assign(error_type=None, error_message=None)
-            except Exception as exc:  # a caller's function may raise anything
-                if left:
+    def answered(rows: pd.DataFrame) -> dict[str, list]:
+        out: dict[str, list] = {c: [None] * len(rows) for c in columns + ["error_type", "error_message"]}
+        waiting = [(0, len(rows))]
+        while waiting:
+            lo, hi = waiting.pop()
+            part = rows.iloc[lo:hi] if hi - lo < len(rows) else rows
+            for _ in range(attempts):
+                try:
+                    answer = within(seconds, fn, part)
+                    if len(answer) != hi - lo:
+                        raise ValueError(f"{len(answer)} answers for {hi - lo} rows")
+                    values_of = [answer[c].tolist() for c in columns]
+                except Exception as exc:  # a caller's function may raise anything
+                    problem = exc
                     continue
-                if len(rows) == 1:
-                    return pd.DataFrame([[None, None, None, type(exc).__name__, str(exc)]],
-                                        columns=columns + ["error_type", "error_message"], index=rows.index)
-        half = len(rows) // 2
-        return pd.concat([answered(rows.iloc[:half]), answered(rows.iloc[half:])])
+                for c, x in zip(columns, values_of):
+                    out[c][lo:hi] = x
+                break
+            else:
+                if hi - lo == 1:
+                    out["error_type"][lo], out["error_message"][lo] = type(problem).__name__, str(problem)
+                else:
+                    half = lo + (hi - lo) // 2
+                    waiting += [(half, hi), (lo, half)]
+        return out
 
     def label_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(workers) as pool:
@@ -172,7 +204,8 @@ def _function(
                 size = rows_a_call or max(1, len(batch))
                 pieces = [batch.iloc[k:k + size] for k in range(0, len(batch), size)]
                 for piece, answer in zip(pieces, pool.map(answered, pieces)):
-                    yield pd.concat([piece[[f.name for f in base]], answer], axis=1)
+                    yield piece[[f.name for f in base]].assign(
+                        **{f.name: pd.Series(answer[f.name], index=piece.index, dtype=object) for f in out.fields[len(base):]})
 
     return asked.mapInPandas(label_batches, out).withColumns({
         "langfuse_trace_id": values.trace_id(F.col("service_request_id"), settings),

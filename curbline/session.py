@@ -38,6 +38,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt evenly over the cores, by a hash of ``by`` if given. A file or a topic comes in few parts, too few
+    for work that is bound by CPU."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *by)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for durable intermediates, else one beside the warehouse tables."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

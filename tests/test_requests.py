@@ -1,9 +1,12 @@
+import threading
+import time
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from curbline import schemas
+from curbline.bindings import inputs
 from curbline.operators import classify, sampling
 from curbline.plans import reports, requests
 from curbline.sources import files
@@ -203,3 +206,22 @@ def test_function_strategy_retries_times_out_and_halves(spark):
         rows, "function", fn=label, at=F.lit(T0), workers=3, rows_a_call=4, attempts=2, seconds=0.5).collect()}
     assert got == {str(k): {5: "TimeoutError", 7: "ValueError"}.get(k) for k in range(9)}
     assert classify.classify(rows.limit(0), "function", fn=label, at=F.lit(T0)).collect() == []
+
+
+def test_calls_with_a_limit_share_a_thread_until_one_overruns():
+    idents = [classify.within(5.0, threading.get_ident) for _ in range(20)]
+    assert len(set(idents)) == 1 and idents[0] != threading.get_ident()
+    with pytest.raises(ZeroDivisionError):
+        classify.within(5.0, lambda: 1 / 0)
+    with pytest.raises(TimeoutError):
+        classify.within(0.05, time.sleep, 0.4)
+    assert classify.within(5.0, lambda: "in time") == "in time"
+
+
+def test_requests_and_pages_are_built_on_all_cores(spark, tmp_path):
+    """The events are one file, which is one task."""
+    rows = "id as event_id, timestamp_ntz '2024-01-01 00:00:00' as ts, id as user_id, 'error' as event_type, 1.0d as value, '' as props"
+    spark.range(400).selectExpr(*rows.split(", ")).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    for made in (inputs.service_requests, inputs.pages):
+        sizes = made(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == spark.sparkContext.defaultParallelism > 1 and sum(r["count"] for r in sizes) == 400
