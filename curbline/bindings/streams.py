@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from curbline import schemas
 from curbline.bindings import inputs
 from curbline.config import Settings
-from curbline.session import shared_dir
+from curbline.session import shared_dir, spread
 from curbline.sinks import paths
 from curbline.sinks.requests import RequestTable, publish_messages
 from curbline.streaming import monitors, pipeline
@@ -20,7 +20,7 @@ from curbline.streaming import monitors, pipeline
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = inputs.table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    return spread(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"), "event_id")
 
 
 def _messages(events: DataFrame) -> DataFrame:
@@ -162,11 +162,28 @@ def write_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+# Rows of a part beyond which it is landed as several files.
+ROWS_PER_FILE = 500_000
+
+
 def _parts(spark: SparkSession, rows: DataFrame, folder: str, parts: int) -> DataFrame:
-    """``rows`` landed as ``parts`` files one after another, by their event_id, and read back one file a micro-batch."""
+    """``rows`` landed in ``parts`` steps one after another, by their event_id, and read back one step a micro-batch.
+
+    A step is one file, or as many as its rows need; all steps have as many, so that a micro-batch takes just one.
+    """
+    files = -(-rows.count() // (parts * ROWS_PER_FILE)) or 1
     for k in range(parts):
-        rows.filter(F.col("event_id") % parts == k).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        some = rows.filter(F.col("event_id") % parts == k)
+        # So many rows have every remainder in every step, so the steps fill the same files.
+        piece = F.floor(F.col("event_id") / parts) % files
+        some.repartition(files, piece).write.mode("append").parquet(folder)
+        # A step without rows is an empty file.
+        landed = len(paths.files(spark, folder, ".parquet"))
+        if k == 0:
+            taken = landed
+        elif landed != (k + 1) * taken:
+            raise RuntimeError(f"steps of {taken} files, but {landed} after {k + 1}")
+    return spread(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", taken).parquet(folder), "event_id")
 
 
 def progress(spark: SparkSession, sf_dir: str) -> DataFrame:

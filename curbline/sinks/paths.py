@@ -18,6 +18,13 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory())
 
 
+def files(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """Names of the files directly under ``path`` that end with ``suffix``, sorted."""
+    fs, where = _opened(spark, path)
+    names = (s.getPath().getName() for s in fs.listStatus(where) if s.isFile())
+    return sorted(n for n in names if n.endswith(suffix))
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether the job that wrote ``path`` committed."""
     fs, _ = _opened(spark, path)
