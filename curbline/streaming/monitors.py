@@ -29,39 +29,59 @@ def windowed_dead_letter_rate(
     )
 
 
+# Seconds that are stored together.
+BLOCK_SECONDS = 3_600
+
+
 class _TrailingCount(StatefulProcessor):
-    """Per source partition: counts per second, and the seconds over the limit whose window has grown."""
+    """Per source partition: counts per second, and the seconds over the limit whose window has grown.
+
+    Seconds are stored by blocks. A micro-batch reads and writes the blocks around its own seconds, so what it costs
+    goes by its rows and not by what is stored; of the other blocks it sees the numbers only.
+    """
 
     def __init__(self, window_seconds: int, threshold: int, late_seconds: int) -> None:
         self.window_seconds, self.threshold, self.late_seconds = window_seconds, threshold, late_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getMapState("recent", "second long", "n long")
+        self.recent = handle.getMapState("blocks", "block long", "counts binary")
+        self.newest = handle.getValueState("newest", "second long")
+
+    def _stored(self, blocks: np.ndarray, horizon: int) -> tuple[np.ndarray, np.ndarray]:
+        """Seconds and counts that these blocks hold, from the horizon on."""
+        found = [self.recent.getValue((b,))[0] for b in blocks.tolist() if self.recent.containsKey((b,))]
+        seconds, counts = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2).T
+        return seconds[seconds >= horizon], counts[seconds >= horizon]
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh: dict[int, int] = {}
-        for batch in rows:
-            for second, n in batch.groupby("second")["n"].sum().items():
-                fresh[int(second)] = fresh.get(int(second), 0) + int(n)
-        stored = {k[0]: v[0] for k, v in self.recent.iterator()}
-        counts = dict(stored)
-        for second, n in fresh.items():
-            counts[second] = counts.get(second, 0) + n
-        seconds = np.array(sorted(counts), np.int64)
-        upto = np.concatenate([[0], np.cumsum([counts[s] for s in seconds.tolist()])])
+        fresh = pd.concat([batch.groupby("second")["n"].sum() for batch in rows]).groupby(level=0).sum()
+        new, added = fresh.index.to_numpy(np.int64), fresh.to_numpy(np.int64)
+        kept = self.window_seconds + self.late_seconds
+        newest = self.newest.get()[0] if self.newest.exists() else None
+        # Blocks with a second whose window has a fresh one, or that is in such a window.
+        first, last = (new - self.window_seconds) // BLOCK_SECONDS, (new + self.window_seconds) // BLOCK_SECONDS
+        touched = np.unique(np.concatenate([first + k for k in range(int((last - first).max()) + 1)]))
+        old, n = self._stored(touched, newest - kept) if newest is not None else (new[:0], added[:0])
+        seconds, back = np.unique(np.concatenate([old, new]), return_inverse=True)
+        counts = np.zeros(len(seconds), np.int64)
+        np.add.at(counts, back, np.concatenate([n, added]))
+        upto = np.concatenate([[0], np.cumsum(counts)])
         totals = upto[1:] - upto[np.searchsorted(seconds, seconds - self.window_seconds)]
         # A second's window has grown if a fresh second lies in it.
-        new = np.array(sorted(fresh), np.int64)
         at = np.searchsorted(new, seconds, side="right")
         grown = (at > 0) & (seconds - new[np.maximum(at - 1, 0)] <= self.window_seconds)
         alerts = [(*key, int(s), int(n)) for s, n in zip(seconds[grown], totals[grown]) if n > self.threshold]
-        horizon = int(seconds[-1]) - self.window_seconds - self.late_seconds
-        for second in fresh:
-            if second >= horizon:
-                self.recent.updateValue((second,), (counts[second],))
-        for second in stored:
-            if second < horizon:
-                self.recent.removeKey((second,))
+        newest = max(int(new[-1]), newest if newest is not None else int(new[-1]))
+        self.newest.update((newest,))
+        horizon = newest - kept
+        block = seconds // BLOCK_SECONDS
+        for b in np.unique(new // BLOCK_SECONDS).tolist():
+            held = (block == b) & (seconds >= horizon) if b <= horizon // BLOCK_SECONDS else slice(*np.searchsorted(block, [b, b + 1]))
+            if len(seconds[held]):
+                self.recent.updateValue((b,), (np.column_stack([seconds[held], counts[held]]).tobytes(),))
+        for b in [k[0] for k in self.recent.keys()]:
+            if (b + 1) * BLOCK_SECONDS <= horizon:
+                self.recent.removeKey((b,))
         yield pd.DataFrame(alerts, columns=["topic", "partition", "second", "messages_in_window"])
 
     def close(self) -> None:
