@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,7 @@ from curbline.config import DEFAULT, Settings
 from curbline.operators import validate
 from curbline.operators.classify import classify
 from curbline.operators.latest import latest_per_key
+from curbline.session import spread
 from curbline.sinks.requests import KEY, RequestTable, dead_letters
 
 Labeller = Callable[[DataFrame], DataFrame]
@@ -44,12 +47,6 @@ def labels_for(rows: DataFrame, labels: DataFrame, max_ids: int) -> DataFrame:
     return F.broadcast(newest) if small else newest
 
 
-def spread(batch: DataFrame) -> DataFrame:
-    """A micro-batch dealt evenly over the cores. A topic has few partitions and one may hold most of the
-    messages, while parsing and labelling are bound by CPU."""
-    return batch.repartition(batch.sparkSession.sparkContext.defaultParallelism)
-
-
 def label_parsed(parsed: DataFrame, label: Labeller) -> DataFrame:
     """Parsed messages with label columns and the first error met, if any.
 
@@ -74,13 +71,23 @@ def write_or_isolate(write: Writer, table: RequestTable, rows: DataFrame, merge_
     When the whole fails, its requests are halved by a hash of their id, again and again, until what fails is a
     single request; of its messages the newest is refused and the others are tried without it. All messages of one
     request stay in one part, so that the newest of them still wins. This takes about 2 log2(n) writes for each
-    request refused; after ``most`` writes the batch fails.
+    request refused; after ``most`` writes the batch fails. Each halving reads only the parts that failed before it,
+    so together they read about as many rows again as the batch has, for each request refused.
 
     If nothing at all can be written although there are several requests, the fault is the table's and not theirs:
     the error is raised, and the stream stops without having moved past the batch. That shows after eight parts.
     """
     parts, alone, refused, written, tries = [(1, 0)], [], [], False, 0
     hashed = F.xxhash64(KEY)
+    left = rows
+
+    def narrowed(failing: list) -> DataFrame:
+        """The rows of parts that failed and of requests that are alone, kept apart."""
+        wanted: dict[int, list[int]] = {}
+        for modulus, rest, _ in failing + alone:
+            wanted.setdefault(modulus, []).append(rest)
+        some = [F.pmod(hashed, F.lit(m)).isin(rests) for m, rests in wanted.items()]
+        return left.filter(reduce(or_, some)).persist(StorageLevel.MEMORY_AND_DISK)
 
     def attempt(some: DataFrame, name: str) -> Exception | None:
         nonlocal written, tries
@@ -97,7 +104,7 @@ def write_or_isolate(write: Writer, table: RequestTable, rows: DataFrame, merge_
     while parts:
         failing = []
         for modulus, rest in parts:
-            some = rows if modulus == 1 else rows.filter(F.pmod(hashed, F.lit(modulus)) == rest)
+            some = left if modulus == 1 else left.filter(F.pmod(hashed, F.lit(modulus)) == rest)
             if (exc := attempt(some, merge_id if modulus == 1 else f"{merge_id}-{modulus}-{rest}")) is not None:
                 failing.append((modulus, rest, exc))
         if not failing:
@@ -106,9 +113,12 @@ def write_or_isolate(write: Writer, table: RequestTable, rows: DataFrame, merge_
             raise failing[0][2]
         # Requests in each half of the parts that failed: two rows for each.
         modulus = 2 * failing[0][0]
-        sizes = {r["part"]: r["requests"] for r in rows.groupBy(F.pmod(hashed, F.lit(modulus)).alias("part")).agg(
+        before, left = left, narrowed(failing) if failing[0][0] > 1 else left
+        sizes = {r["part"]: r["requests"] for r in left.groupBy(F.pmod(hashed, F.lit(modulus)).alias("part")).agg(
             F.count_distinct(KEY).alias("requests")).filter(
                 F.col("part").isin([h for _, rest, _ in failing for h in (rest, rest + modulus // 2)])).collect()}
+        if before is not rows and before is not left:
+            before.unpersist()
         parts = []
         for half, rest, exc in failing:
             inside = [(modulus, h) for h in (rest, rest + half) if h in sizes]
@@ -121,7 +131,7 @@ def write_or_isolate(write: Writer, table: RequestTable, rows: DataFrame, merge_
     if not written and len(alone) > 1:
         raise alone[0][2]
     for modulus, rest, exc in alone:
-        some = rows.filter(F.pmod(hashed, F.lit(modulus)) == rest)
+        some = left.filter(F.pmod(hashed, F.lit(modulus)) == rest)
         while exc is not None:
             newest = some.agg(F.max(F.struct("offset", "partition", "topic"))).head()[0]
             refused.append((newest["topic"], newest["partition"], newest["offset"], type(exc).__name__, f"warehouse_write_error: {exc}"))
@@ -130,6 +140,8 @@ def write_or_isolate(write: Writer, table: RequestTable, rows: DataFrame, merge_
             if some.isEmpty():
                 break
             exc = attempt(some, f"{merge_id}-{modulus}-{rest}-{newest['offset']}")
+    if left is not rows:
+        left.unpersist()
     reasons = rows.sparkSession.createDataFrame(
         refused, "topic string, partition int, offset long, error_type string, error_message string")
     return rows.drop("error_type", "error_message").join(F.broadcast(reasons), ["topic", "partition", "offset"])
