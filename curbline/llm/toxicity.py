@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import one_per_id
+from curbline.llm.common import bounded, one_per_id
 from curbline.session import materialise
 
 # Terms that count as abusive before anything is learned. Prior evidence, not the whole lexicon.
@@ -29,8 +31,9 @@ CONTEXT = 8
 WORD = re.compile(r"[^\W_]+")
 LEET = str.maketrans("013457", "oieast")
 
-# A fit uses at most about so many labelled rows, taken by a hash of their doc_id.
-FIT_ROWS = 20_000
+# Of the toxic rows, this share (and a few at least) has to hold a unit for it to be a term, so that the lexicon is
+# bounded however many rows there are.
+LEAST_SHARE = 1 / 2_000
 PREFIXES = (4, 5, 6)
 FEATURES = 8
 
@@ -192,14 +195,12 @@ def _fold(doc_id: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 5
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(doc_id, text, toxic) of the rows to learn from: labelled, not held out, at most about ``rows``."""
-    labels = (labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IN (0, 1)")
-              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(_fold(F.col("doc_id")) != 0))
-    share = min(1.0, rows / max(1, labels.count()))
-    chosen = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    # A bounded number of ids: the texts aren't shuffled to find them.
-    return docs.join(F.broadcast(chosen), "doc_id")
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, toxic) of the rows to learn from: all that are labelled and not held out."""
+    chosen = materialise(
+        labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IN (0, 1)")
+        .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(_fold(F.col("doc_id")) != 0), "toxic-labels")
+    return docs.join(bounded(chosen), "doc_id")
 
 
 def _units(words: set[str]) -> set[str]:
@@ -224,12 +225,12 @@ def _term_counts(rows: DataFrame, only: frozenset[str] | None = None) -> DataFra
 def learn_terms(rows: DataFrame) -> list[Term]:
     """Words, and beginnings of words, that toxic rows of (text, toxic) hold far more often than others.
 
-    Weights are log odds of document frequencies. All units that enough toxic rows hold are looked at; the rows
-    to learn from are bounded, and so are these.
+    Weights are log odds of document frequencies. All units that enough toxic rows hold are looked at; as enough is
+    ``LEAST_SHARE`` of them at least, there are at most 2,000 times as many units as a toxic row has.
     """
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_bad, n_good = sizes.get(1, 0), sizes.get(0, 0)
-    least = 3 if n_bad < 200 else 5
+    least = max(3 if n_bad < 200 else 5, math.ceil(n_bad * LEAST_SHARE))
     common = _term_counts(rows.where("toxic = 1")).where(F.col("n") >= least)
     bad = {r["unit"]: r["n"] for r in common.collect()}
     good = {r["unit"]: r["n"] for r in _term_counts(rows.where("toxic = 0"), frozenset(bad)).collect()} if bad else {}
@@ -244,15 +245,33 @@ def learn_terms(rows: DataFrame) -> list[Term]:
     return [(u.rstrip("*"), u.endswith("*"), w) for w, u in scored]
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 40) -> np.ndarray:
-    """Weights of a logistic regression with an intercept, by Newton steps."""
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
+def fit_logistic(features: DataFrame, ridge: float = 0.5, rounds: int = 40) -> np.ndarray:
+    """Weights of a logistic regression with an intercept on (toxic, features), by Newton steps. Every task adds up its
+    rows' gradient and curvature; only these sums reach the driver."""
+    size = FEATURES + 1
+    w = np.zeros(size)
+    penalty = np.full(size, ridge)
     penalty[-1] = 1e-3
+
+    def sums(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            curve, slope = np.zeros((size, size)), np.zeros(size)
+            for batch in batches:
+                y, n = (batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in (0, 2))
+                x = np.column_stack([batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, FEATURES), np.ones(len(y))])
+                p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+                curve += (x * (n * p * (1 - p))[:, None]).T @ x
+                slope += x.T @ (n * (y - p))
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([curve.tobytes() + slope.tobytes()])],
+                                             names=["task", "sums"])
+
+        found = sorted(features.mapInArrow(run, "task int, sums binary").collect(), key=lambda r: r["task"])
+        total = sum(np.frombuffer(r["sums"]) for r in found)
+        return total[:-size].reshape(size, size), total[-size:]
+
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
+        curve, slope = sums(w)
+        step = np.linalg.solve(curve + np.diag(penalty), slope - penalty * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -272,25 +291,26 @@ def _apply(rows: DataFrame, schema: str, terms: list[Term], out_of) -> DataFrame
     return rows.mapInArrow(run, schema)
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[list[Term], np.ndarray]:
-    """The lexicon and the weights of the features, from labelled rows outside the held-out fold."""
-    chosen = materialise(_labelled(docs, labels, rows).select("doc_id", "toxic", "text"), "toxic-fit")
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[Term], np.ndarray]:
+    """The lexicon and the weights of the features, from all labelled rows outside the held-out fold."""
+    chosen = materialise(_labelled(docs, labels).select("doc_id", "toxic", "text"), "toxic-fit")
     terms = learn_terms(chosen)
 
     def measured(scan: Scanner, texts: list) -> pa.Array:
         return pa.array([scan.features(t).tolist() for t in texts], pa.list_(pa.float64()))
 
     found = _apply(chosen.select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text"),
-                   "doc_id long, toxic int, features array<double>", terms, measured).toPandas()
-    if found.empty:
+                   "doc_id long, toxic int, features array<double>", terms, measured)
+    # Rows without a match have the same features.
+    features = materialise(found.groupBy("toxic", "features").agg(F.count("*").alias("n")), "toxic-features")
+    if features.isEmpty():
         prior = np.zeros(FEATURES + 1)
         prior[[4, 7, 8]] = 1.0, 0.0, -3.0
         return terms, prior
-    found = found.sort_values("doc_id")
-    return terms, fit_logistic(np.array(found["features"].tolist()), found["toxic"].to_numpy(float))
+    return terms, fit_logistic(features)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every document of (doc_id, text, ...).
 
     The lexicon and the classifier are learned from (doc_id, toxic, ...) of ``labels`` for documents
@@ -303,10 +323,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) ->
     a doc_id, is ignored, and of several labels of a document the largest counts; without labels the
     seed terms alone decide; further columns are ignored; an empty table gives an empty table.
 
-    Every text is read whole. Learning reads at most about ``rows`` labelled texts.
+    Every text is read whole, and learning reads all labelled ones outside the fold.
     """
     docs = one_per_id(docs, "doc_id", "text")
-    terms, weights = learn(docs, labels, rows)
+    terms, weights = learn(docs, labels)
 
     def scored(scan: Scanner, texts: list) -> pa.Array:
         x = np.array([scan.features(t) for t in texts]).reshape(-1, FEATURES)

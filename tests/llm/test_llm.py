@@ -252,6 +252,22 @@ def test_toxicity(spark, docs, none):
     assert toxicity.score_toxicity(none, labels.limit(0)).collect() == []
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """24,000 labelled rows; all those outside the fold are learned from, and the fit equals one in the driver."""
+    rows = spark.range(24_000).selectExpr("id as doc_id", "concat('plain word', if(id % 40 = 3, ' zorgon scum', if(id % 50 = 4, ' zorgon said', ''))) as text")
+    labels = spark.range(24_000).selectExpr("id as doc_id", "if(id % 40 = 3, 1, 0) as toxic")
+    want = labels.where("crc32(encode(string(doc_id), 'UTF-8')) % 5 <> 0").count()
+    assert toxicity._labelled(rows, labels).count() == want > 19_000
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((400, toxicity.FEATURES))
+    y = (x[:, 0] + rng.standard_normal(400) > 0).astype(int)
+    given = spark.createDataFrame([(int(b), a.tolist(), 1) for a, b in zip(x, y)], "toxic int, features array<double>, n long").repartition(3)
+    w = toxicity.fit_logistic(given)
+    full = np.column_stack([x, np.ones(400)])
+    slope = full.T @ (y - 1 / (1 + np.exp(-full @ w))) - np.append(np.full(toxicity.FEATURES, 0.5), 1e-3) * w
+    assert np.abs(slope).max() < 1e-6 and w[0] > 1
+
+
 def test_decontamination(spark, docs, none):
     rng = np.random.default_rng(1)
     item = [f"b{rng.integers(1000)}" for _ in range(40)]
