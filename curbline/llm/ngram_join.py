@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from curbline.llm.common import bounded, distinct, mixed, one_per_id, window_hashes, word_hashes, words_of
 from curbline.llm.components import connected_components
-from curbline.session import materialise
+from curbline.session import arrow_batches, materialise
 
 # The most frequent shingles, which come last in every set's order; only the order depends on them.
 FREQUENT = 100_000
@@ -20,6 +20,8 @@ FREQUENT = 100_000
 LARGEST_SMALL = 256
 # Hashes of shingles that a task holds together while it counts them or publishes keys.
 TOGETHER = 2_000_000
+# Documents that a task surveys together.
+ROWS_TOGETHER = 10_000
 # Signatures of sets that a task remembers, not to publish equal ones twice.
 REMEMBERED = 200_000
 # Bits of a set's sketch, as 64-bit words, and of the second one of a large set. Two sets differ in at least as many
@@ -30,6 +32,10 @@ WIDE_WORDS = 64
 DOUBT = 1e-18
 # Bytes of shortened sets that a task hands on together.
 TOGETHER_BYTES = 16_000_000
+# Rows and bytes of texts that a task gets at once.
+BATCH = (1_000, "16m")
+# Ranges of sizes that a list's members are summed up by: so many for each factor of e.
+BANDS = 16
 # Rounds in which every member of a list tries one other before the rest of the pairs are looked at.
 ATTEMPTS = 3
 
@@ -115,8 +121,8 @@ def _survey(docs: DataFrame, size: int, at_least: Ratio) -> DataFrame:
             names=["kind", "doc_id", "n", "h1", "h2", "sketch", "wide"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, sets, seen, held = [], [], set(), 0
         for batch in batches:
-            rows, sets, seen, held = [], [], set(), 0
             for doc_id, text in _texts(batch):
                 s = shingle_set(text, size)
                 if not len(s):
@@ -129,10 +135,10 @@ def _survey(docs: DataFrame, size: int, at_least: Ratio) -> DataFrame:
                     seen.add(signature)
                     sets.append(s)
                     held += len(s)
-                if held >= TOGETHER:
+                if held >= TOGETHER or len(rows) >= ROWS_TOGETHER:
                     yield counted(rows, sets)
                     rows, sets, seen, held = [], [], set(), 0
-            yield counted(rows, sets)
+        yield counted(rows, sets)
 
     return docs.mapInArrow(run, "kind byte, doc_id long, n long, h1 long, h2 long, sketch array<long>, wide array<long>")
 
@@ -162,8 +168,8 @@ def _keys(docs: DataFrame, size: int, at_least: Ratio, small: int, hashes: np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
+        keys, docs_of, packed, held = [], [], [], 0
         for batch in batches:
-            keys, docs_of, packed, held = [], [], [], 0
             for doc_id, text in _texts(batch):
                 s = shingle_set(text, size)
                 n = len(s)
@@ -189,7 +195,7 @@ def _keys(docs: DataFrame, size: int, at_least: Ratio, small: int, hashes: np.nd
                 if held >= TOGETHER // 4:
                     yield made(keys, docs_of, packed)
                     keys, docs_of, packed, held = [], [], [], 0
-            yield made(keys, docs_of, packed)
+        yield made(keys, docs_of, packed)
 
     return docs.mapInArrow(run, "key long, doc long, packed long")
 
@@ -200,6 +206,59 @@ def _within_reach(at_least: Ratio, n: str, m: str, reach_n: str, reach_m: str):
     return F.expr(f"least({reach_n}, {reach_m}) * {num + den} >= {num} * ({n} + {m})")
 
 
+def _live(lists: DataFrame, at_least: Ratio) -> DataFrame:
+    """The rows (key, doc, n, reach, keys, component) of lists that may still have a partner in their list: one of
+    another component whose size they reach and which reaches theirs.
+
+    A list's members are summed up by ranges of sizes, of which a list has a bounded number however many members it
+    has. A row stays if a range has another component, its smallest size is within the row's reach and its largest
+    reach is up to the row's size. Every pair that :func:`_within_reach` allows passes, so no pair is lost.
+    """
+    num, den = at_least
+    # The largest partner: reach * (num + den) >= num * (n + partner).
+    rows = lists.withColumn("largest", F.expr(f"reach * {num + den} div {num} - n"))
+    ranges = rows.groupBy("key", F.expr(f"floor({BANDS} * ln(n))").alias("band")).agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("least"), F.max("largest").alias("most"))
+    summed = ranges.groupBy("key").agg(F.collect_list(F.struct("lo", "hi", "least", "most")).alias("ranges"))
+    partner = "exists(ranges, r -> (r.lo <> component OR r.hi <> component) AND r.least <= largest AND r.most >= n)"
+    return rows.join(summed, "key").where(partner).select(*lists.columns)
+
+
+def _merged(lists: DataFrame) -> DataFrame:
+    """Lists of nearly the same documents as one list, in which a document has the largest of its reaches.
+
+    Near copies share hundreds of rare shingles, and each of these has a list of nearly all of them. Lists with the
+    same member of least hash are merged where the square of their union's members is no more than the sum of their
+    own, so there are never more pairs; a union holds every pair of its lists, so none is lost.
+    """
+    columns = lists.columns
+    told = lists.groupBy("key").agg(F.xxhash64(F.min(F.xxhash64("doc"))).alias("family"), F.count("*").alias("members"))
+    rows = lists.join(told, "key")
+    union = rows.groupBy("family", "doc", "n", "component").agg(F.max("reach").alias("reach"), F.sum("keys").alias("keys"))
+    squares = told.groupBy("family").agg(F.sum(F.expr("members * members")).alias("squares"))
+    fewer = (union.groupBy("family").agg(F.count("*").alias("all")).join(squares, "family")
+             .where("all * all <= squares").select("family"))
+    return (union.join(fewer, "family").withColumnRenamed("family", "key").select(columns)
+            .unionByName(rows.join(fewer, "family", "left_anti").select(columns)))
+
+
+def _lists(keys: DataFrame, at_least: Ratio) -> DataFrame:
+    """(key, doc, n, reach, keys) of the lists that several documents publish. Those with the same members get the same
+    number and are one list; should others get it too, they are one list as well, and no pair is lost. A list of two
+    that can't reach each other is none.
+
+    Keys are shuffled once, for the counts and for the rows.
+    """
+    num, den = at_least
+    dealt = keys.repartition("key")
+    counted = dealt.groupBy("key").agg(
+        F.count("*").alias("members"), F.bit_xor(F.xxhash64("doc")).alias("list"),
+        F.min(F.expr("packed & 4294967295")).alias("reach"), F.sum(F.expr("packed >> 32")).alias("sizes"))
+    repeated = counted.where(f"members > 2 OR members = 2 AND reach * {num + den} >= {num} * sizes").select("key", "list")
+    return (dealt.join(repeated, "key").groupBy(F.col("list").alias("key"), "doc", F.expr("packed >> 32").alias("n"))
+            .agg(F.max(F.expr("packed & 4294967295")).alias("reach"), F.count("*").alias("keys")))
+
+
 def _alike(at_least: Ratio):
     """The sketches of sides a and b differ in no more bits than sets of these sizes and this similarity in elements."""
     num, den = at_least
@@ -355,7 +414,9 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
     * small sets publish all two-element subsets of their prefix, large sets the elements of theirs,
       into inverted lists; the boundary between small and large is where the estimated rows are fewest.
       Sets that a large one can match publish elements too, so a pair on either side of it is found;
-    * lists with the same members are one list, in which a document has the largest of its reaches;
+    * lists with the same members are one list, in which a document has the largest of its reaches; a document leaves
+      a list that has no member of another component which it reaches and which reaches it (:func:`_live`);
+      then lists of nearly the same documents are one list (:func:`_merged`);
     * each list proposes to its members one of them, at first that with the fewest rare elements; a set is
       checked against the one that most of its lists propose. Links give components, and the lists that
       still hold several propose anew, ``ATTEMPTS`` times in all. Then only members of different components in one list pair
@@ -373,7 +434,11 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
     """
     if not at_least[1] < 2 * at_least[0] <= 2 * at_least[1]:
         raise ValueError("the similarity must be above one half and at most one")
-    docs = one_per_id(docs, "doc_id", "text")
+    with arrow_batches(docs.sparkSession, *BATCH):
+        return _joined(one_per_id(docs, "doc_id", "text"), size, at_least)
+
+
+def _joined(docs: DataFrame, size: int, at_least: Ratio) -> DataFrame:
     survey = materialise(_survey(docs, size, at_least), "join-survey")
     sets = survey.where("kind = 0")
     sketches = sets.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "sketch", "wide")
@@ -387,13 +452,8 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
     small = boundary(sizes, (squares or 0) / elements if elements else 1.0, at_least)
 
     keys = materialise(_keys(docs, size, at_least, small, hashes[order], counts[order]), "join-keys")
-    # Lists with the same members get the same number. Should others get it too, they are one list, and no pair is lost.
-    repeated = bounded(materialise(
-        keys.groupBy("key").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("doc")).alias("list"))
-        .where("members > 1").select("key", "list"), "join-repeated"))
-    lists = (keys.join(repeated, "key").groupBy("list", "doc", F.expr("packed >> 32").alias("n"))
-             .agg(F.max(F.expr("packed & 4294967295")).alias("reach"), F.count("*").alias("keys")).withColumnRenamed("list", "key"))
-    open_lists = materialise(lists, "join-lists").withColumn("component", F.col("doc"))
+    lists = materialise(_lists(keys, at_least), "join-lists").withColumn("component", F.col("doc"))
+    open_lists = materialise(_merged(materialise(_live(lists, at_least), "join-live")), "join-merged")
     nodes, tried, linked, unsure = None, None, None, None
     for attempt in range(ATTEMPTS):
         preference = F.expr("n - reach") if attempt == 0 else F.xxhash64("doc", F.lit(attempt))
@@ -414,12 +474,10 @@ def ngram_join(docs: DataFrame, size: int = 4, at_least: Ratio = (85, 100)) -> D
         linked = found if linked is None else found.unionByName(nodes.where("node <> component").select(
             F.col("node").alias("a"), F.col("component").alias("b")))
         nodes = materialise(connected_components(linked, "a", "b"), "join-nodes")
-        # A list whose members are of one component stays so.
+        # What has no partner left stays so, as components only grow.
         grouped = (open_lists.drop("component").join(bounded(nodes.withColumnRenamed("node", "doc")), "doc", "left")
                    .withColumn("component", F.coalesce("component", "doc")))
-        mixed_keys = (grouped.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                      .where("lo <> hi").select("key"))
-        open_lists = materialise(grouped.join(mixed_keys, "key", "left_semi"), "join-open")
+        open_lists = materialise(_live(grouped, at_least), "join-open")
     open_lists = open_lists.join(sketches.select(F.col("doc_id").alias("doc"), "sketch", "wide"), "doc")
     x, y = (open_lists.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "reach", "component", "sketch", "wide")])
             for side in "ab")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +46,21 @@ def spread(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *by)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int, size: str) -> Iterator[None]:
+    """Arrow batches of what runs inside have at most so many rows and bytes: a task holds a batch several times, in the
+    JVM and in Python. The session's own settings hold again afterwards."""
+    given = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {key: spark.conf.get(key) for key in given}
+    try:
+        for key, value in given.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for durable intermediates, else one beside the warehouse tables."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
