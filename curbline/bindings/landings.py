@@ -50,9 +50,7 @@ def _landed_twice(spark: SparkSession, sf_dir: str) -> str:
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every landed version, and whether readers take it."""
     target = _landed_twice(inputs.prepare(spark), sf_dir)
-    rows, ledger = pulls.landed_requests(spark, target), pulls.landed_ledger(spark, target)
-    taken = extract.verified_versions(rows, ledger).select("sr_number", F.lit(True).alias("verified"))
-    return rows.join(taken, "sr_number", "left").withColumn("verified", F.coalesce("verified", F.lit(False)))
+    return extract.marked_versions(pulls.landed_requests(spark, target), pulls.landed_ledger(spark, target))
 
 
 def landed_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,14 @@ def verified_versions(portal_requests: DataFrame, portal_pulls: DataFrame) -> Da
     return portal_requests.join(good, ["pull_id", "partition_date"], "left_semi")
 
 
+def marked_versions(portal_requests: DataFrame, portal_pulls: DataFrame) -> DataFrame:
+    """Every version, and in ``verified`` whether :func:`verified_versions` takes it. Days decide, so the versions
+    themselves aren't shuffled."""
+    good = portal_pulls.filter(F.col("status") == "verified").select("pull_id", "partition_date").distinct()
+    marked = portal_requests.join(good.withColumn("verified", F.lit(True)), ["pull_id", "partition_date"], "left")
+    return marked.select(*portal_requests.columns, F.coalesce("verified", F.lit(False)).alias("verified"))
+
+
 def stg_portal_requests(portal_requests: DataFrame, portal_pulls: DataFrame) -> DataFrame:
     """The latest verified version of each request: last change, then pull time, then pull id."""
     versions = verified_versions(portal_requests, portal_pulls).select(

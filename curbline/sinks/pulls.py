@@ -187,14 +187,15 @@ def swap_days(spark: SparkSession, target: str, pull_id: str, rows: DataFrame, d
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = rows.join(sizes, "partition_date").select(*rows.columns, piece).repartition(tasks, "partition_date", "_piece")
     _replace(dealt.drop("_piece"), f"{target}/portal_requests", "pull_id", "partition_date")
-    emptied = days.select("partition_date").join(rows.select("partition_date"), "partition_date", "left_anti")
+    emptied = days.select("partition_date").join(sizes, "partition_date", "left_anti")
     if not paths.subfolders(spark, f"{target}/portal_requests"):
         return
     held = (
         spark.read.schema(schemas.PORTAL_REQUESTS).parquet(f"{target}/portal_requests")
         .filter(F.col("pull_id") == pull_id)
-        .select("partition_date", F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
-        .join(emptied, "partition_date", "left_semi").select("folder").distinct()
+        .select("partition_date", F.col("_metadata.file_path").alias("file")).distinct()
+        .join(emptied, "partition_date", "left_semi")
+        .select(F.regexp_replace("file", "/[^/]*$", "").alias("folder")).distinct()
     )
     # One folder per day of the plan at most.
     for row in held.collect():

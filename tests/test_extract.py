@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbline import schemas
+from curbline.bindings import landings
 from curbline.config import Settings
 from curbline.operators.latest import latest_per_key
 from curbline.operators.skew import spread_left_join
@@ -254,3 +255,27 @@ def test_reports(spark):
     weeks = spark.range(10).selectExpr("date_add(date'2026-01-04', cast(id * 7 as int)) as week_end",
                                        "id as open_at_week_end", "0L as opened_in_week", "0L as closed_in_week")
     assert sorted(r.open_at_week_end for r in reports.backlog_city(weeks).collect()) == [0, 4, 8, 9]
+
+
+def test_marking_versions_shuffles_days_only(spark, tmp_path):
+    """Rows are marked by their days, as verified_versions takes them, without a shuffle of the rows."""
+    rows = spark.createDataFrame(
+        [("p1", d, f"s{d}{k}") for d in range(4) for k in range(3)] + [("p2", 0, "s00")], "pull_id string, partition_date int, sr_number string")
+    rows.write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    states = [("p1", 0, "verified"), ("p1", 0, "verified"), ("p1", 1, "failed"), ("p1", 2, "verified"), ("p2", 1, "verified")]
+    ledger = spark.createDataFrame(states, "pull_id string, partition_date int, status string")
+    ledger.write.parquet(f"{tmp_path}/ledger")
+    ledger = spark.read.parquet(f"{tmp_path}/ledger")
+    marked = extract.marked_versions(rows, ledger)
+    taken = {tuple(r) for r in extract.verified_versions(rows, ledger).select(rows.columns).collect()}
+    found = [tuple(r) for r in marked.collect()]
+    assert len(found) == 13 and {r[:3] for r in found if r[3]} == taken and len(taken) == 6
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and "sr_number" in line]
+
+
+def test_the_landed_query_marks_without_a_join_on_versions(spark):
+    plan = landings.landed(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not [line for line in joins if "sr_number" in line]
