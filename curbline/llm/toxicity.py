@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbline.llm.common import bounded, one_per_id
-from curbline.session import materialise
+from curbline.session import arrow_batches, materialise
 
 # Terms that count as abusive before anything is learned. Prior evidence, not the whole lexicon.
 SEED = ("arschloch bastard cabrón clown connard crétin cretin disgusting dumb dummkopf estúpido freak fool garbage "
@@ -37,6 +37,11 @@ LEAST_SHARE = 1 / 2_000
 PREFIXES = (4, 5, 6)
 FEATURES = 8
 
+# Rows and bytes of texts that a task gets at once.
+BATCH = (1_000, "4m")
+# Different units that a task counts before it hands the counts on.
+UNITS_TOGETHER = 100_000
+
 Term = tuple[str, bool, float]  # text, whether longer words that begin with it count, weight
 
 
@@ -210,14 +215,20 @@ def _units(words: set[str]) -> set[str]:
 def _term_counts(rows: DataFrame, only: frozenset[str] | None = None) -> DataFrame:
     """(unit, n): the documents that hold a word, or a word with a beginning (shown with a star)."""
 
+    def counted(count: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(count.keys()), pa.string()), pa.array(list(count.values()), pa.int64())],
+                                          names=["unit", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: Counter = Counter()
         for batch in batches:
-            count: Counter = Counter()
             for text in batch.column(0).to_pylist():
                 units = _units(set(WORD.findall((text or "").lower())))
                 count.update(units if only is None else units & only)
-            yield pa.RecordBatch.from_arrays([pa.array(list(count.keys()), pa.string()), pa.array(list(count.values()), pa.int64())],
-                                             names=["unit", "n"])
+                if len(count) >= UNITS_TOGETHER:
+                    yield counted(count)
+                    count.clear()
+        yield counted(count)
 
     return rows.select("text").mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
@@ -323,18 +334,21 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     a doc_id, is ignored, and of several labels of a document the largest counts; without labels the
     seed terms alone decide; further columns are ignored; an empty table gives an empty table.
 
-    Every text is read whole, and learning reads all labelled ones outside the fold.
+    Every text is read whole, and learning reads all labelled ones outside the fold. Tasks get the texts in small
+    batches; so that this holds for the scores too, they are written once.
     """
     docs = one_per_id(docs, "doc_id", "text")
-    terms, weights = learn(docs, labels)
 
     def scored(scan: Scanner, texts: list) -> pa.Array:
         x = np.array([scan.features(t) for t in texts]).reshape(-1, FEATURES)
         return pa.array(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))), pa.float64())
 
     held_out = (_fold(F.col("doc_id")) == 0).alias("held_out")
-    return (_apply(docs.select("doc_id", held_out, "text"), "doc_id long, held_out boolean, score double", terms, scored)
-            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+    with arrow_batches(docs.sparkSession, *BATCH):
+        terms, weights = learn(docs, labels)
+        scores = materialise(_apply(docs.select("doc_id", held_out, "text"), "doc_id long, held_out boolean, score double", terms, scored),
+                             "toxicity-scores")
+    return scores.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def query(spark, sf_dir):
