@@ -19,17 +19,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from curbline.llm.common import one_per_id
-from curbline.session import shared_dir
+from curbline.session import arrow_batches, materialise, shared_dir
 
 BLOCK_IDS = 65_536
 # Rows of text a shard aims at. A shard is one task's sorted stretch of doc_ids.
 SHARD_BYTES = 64 << 20
-# Words whose ids a worker remembers: twice so many, of at most so many bytes.
+# Rows and bytes of texts, and of blocks, that a task gets at once.
+BATCH = (1_000, "4m")
+BLOCK_BATCH = (4, "4m")
+# Bytes of a file's row group, which a reader holds whole: a few blocks.
+GROUP_BYTES = 8 << 20
+# Words whose ids a task remembers: twice so many, of at most so many bytes.
 REMEMBERED = 200_000
 REMEMBERED_BYTES = 64
 # Bytes of text that are cut into words together; their new words are encoded in one call.
 TOGETHER = 2 << 20
 MARK = "\x1f"
+# Bytes in lower case, and what they are: a letter 1, a mark beside which the tokenizer always cuts 2, anything else 0.
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+KIND = np.array([1 if chr(c).isalpha() and c < 128 else 2 * (chr(c) in '.,;:!?#$%&*()"-') for c in range(256)], np.uint8)
 # The tokenizer's cut of a lower-cased word, for the characters that PLAIN admits.
 PLAIN = re.compile("[!-~\u00c0-\u00ff]+")
 PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+")
@@ -67,6 +75,26 @@ def from_planes(width: int, planes: list[bytes], n_ids: int) -> np.ndarray:
     return out.reshape(-1).view("<u4")
 
 
+def apart(texts: pa.Array) -> pa.Array:
+    """Texts without nulls, A-Z lower-cased, with a blank wherever a letter and a mark of KIND meet: the same ids from
+    fewer different words. As they are, if one may hold a special string, which counts as it is written."""
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, offsets, data = texts.buffers()
+    if not len(texts) or data is None:
+        return texts
+    offsets = np.frombuffer(offsets, wide)[texts.offset: texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8)[offsets[0]: offsets[-1]]
+    if b"<|" in raw.tobytes():
+        return texts
+    kind = KIND[raw]
+    at = np.flatnonzero(kind[:-1] + kind[1:] == 3)
+    # A pair of marks adds up to 4, a pair of letters to 2.
+    low = np.insert(LOWER[raw], at + 1, 0x20)
+    moved = offsets - offsets[0]
+    moved += np.searchsorted(at + 1, moved).astype(wide)
+    return pa.Array.from_buffers(texts.type, len(texts), [None, pa.py_buffer(moved), pa.py_buffer(low)])
+
+
 class Encoder:
     """Ids of texts for a tokenizer that drops white space: no token crosses an ASCII blank, so the ids
     of a text are those of its blank-separated words, and a word is encoded once while remembered.
@@ -75,7 +103,8 @@ class Encoder:
     crosses such a cut either. New words of plain letters and marks are cut here in the same way, so
     that words which differ in case or punctuation share their stem's ids; others stay whole.
 
-    New pieces of plain characters go to the tokenizer's model, in its byte alphabet. Others go through
+    Before that, whole batches are lower-cased and cut beside common marks (:func:`apart`). New words of small letters
+    and new pieces of plain characters go to the tokenizer's model, in its byte alphabet. Others go through
     the whole tokenizer in one text, with a control character between them, whose id then marks where each
     piece's ids end; those that hold that character are encoded by themselves. What was used since the last
     turnover, or since the one before, is remembered.
@@ -120,17 +149,25 @@ class Encoder:
         Arrow cuts the texts at blanks and numbers their different words; only those are looked up in Python.
         Every word's ids are then taken from those of the different ones by their numbers.
         """
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        split = pc.ascii_split_whitespace(apart(pc.fill_null(texts, "")))
         numbered = split.flatten().dictionary_encode()
         different = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-        cut = {w: [w.lower()] if w.isascii() and w.isalpha() else cut_word(w) for w in self.words.missing(set(different))}
+        fresh, plain, cut = self.words.missing(set(different)), [], {}
+        for w in fresh:
+            if w.isalpha() and w.isascii() and w.islower():
+                plain.append(w)
+            else:
+                cut[w] = cut_word(w)
         pieces = self.pieces.missing(set().union(*cut.values()))
+        ids_of, get = self.model.tokenize, self.words.young
+        for w in plain:
+            get[w] = array("I", [t.id for t in ids_of(w)]).tobytes()
         self.pieces.young |= self._encode(pieces)
-        piece, get = self.pieces.young, self.words.young
+        piece = self.pieces.young
         for w, parts in cut.items():
             get[w] = piece[parts[0]] if len(parts) == 1 else b"".join([piece[p] for p in parts])
         found = [get[w] for w in different]
-        self.words.turn(cut)
+        self.words.turn(fresh)
         self.pieces.turn(pieces)
 
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
@@ -178,16 +215,6 @@ def cut_word(word: str) -> list[str]:
     return [word]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(path: str) -> Encoder:
-    """One encoder per worker and tokenizer."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def write_token_planes(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, unit: str = "byte",
                        block_ids: int = BLOCK_IDS, shard_bytes: int = SHARD_BYTES) -> None:
     """Encode (doc_id, text, ...) and write the ids of all documents, in ascending doc_id order, to ``path``.
@@ -201,14 +228,15 @@ def write_token_planes(docs: DataFrame, path: str, tokenizer_path: str, end_id:
     first) count as one document, with the smallest text; further columns are ignored; an empty table
     writes no block; a text may span many blocks.
 
-    Spark's own writer commits the files, so a task that runs again replaces its earlier attempt.
+    Spark's own writer commits the files, so a task that runs again replaces its earlier attempt. Tasks get the texts
+    in small batches, and an encoder goes with its task, so a worker that waits for other work holds neither.
     """
     docs = one_per_id(docs, "doc_id", "text")
     total = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     shards = max(1, min(total[0], max(docs.sparkSession.sparkContext.defaultParallelism, -(-(total[1] or 0) // shard_bytes))))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = _encoder(tokenizer_path), TaskContext.get().partitionId()
+        encoder, shard = Encoder(tokenizer_path), TaskContext.get().partitionId()
         waiting: list[np.ndarray] = []
         held, block, first, seq = 0, 0, 0, 0
         listed: list[dict] = []
@@ -247,8 +275,9 @@ def write_token_planes(docs: DataFrame, path: str, tokenizer_path: str, end_id:
         if held:
             yield pa.RecordBatch.from_pylist([row(np.concatenate(waiting))], schema=_BLOCK_ARROW)
 
-    (docs.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id").mapInArrow(encode, BLOCKS)
-     .write.option("compression", "none").parquet(path))
+    blocks = docs.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id").mapInArrow(encode, BLOCKS)
+    with arrow_batches(docs.sparkSession, *BATCH):
+        blocks.write.option("compression", "none").option("parquet.block.size", GROUP_BYTES).parquet(path)
 
 
 _BLOCK_ARROW = pa.schema([
@@ -269,7 +298,8 @@ def read_token_planes(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in batch.to_pylist():
+            for k in range(batch.num_rows):
+                block = batch.slice(k, 1).to_pylist()[0]
                 raw = from_planes(block["width"], block["planes"], block["n_ids"]).tobytes()
                 out = []
                 for d in block["docs"]:
@@ -300,11 +330,13 @@ _PIECE_ARROW = pa.schema([("shard", pa.int32()), ("seq", pa.int32()), ("doc_id",
 
 
 def encode_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2) -> DataFrame:
-    """Write the token files of ``docs`` to a new folder of the shared storage and read them back."""
+    """Write the token files of ``docs`` to a new folder of the shared storage and read them back, a few blocks at a
+    time; so that this holds whenever the rows are used, they are written once."""
     spark = docs.sparkSession
     path = f"{shared_dir(spark)}/token-planes-{uuid.uuid4().hex}"
     write_token_planes(docs, path, public_tokenizers.path(tokenizer), end_id)
-    return read_token_planes(spark, path)
+    with arrow_batches(spark, *BLOCK_BATCH):
+        return materialise(read_token_planes(spark, path), "token-counts")
 
 
 def query(spark, sf_dir):

@@ -1,8 +1,15 @@
 """What tasks hold at once: rows of a batch, and what workers keep when their task is over."""
 
+import gc
+import random
 from collections import Counter
 
-from curbline.llm import toxicity
+import public_tokenizers
+import pyarrow as pa
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from curbline.llm import token_planes, toxicity
 
 
 def spy_batches(monkeypatch, spark, most_of):
@@ -37,3 +44,37 @@ def test_toxicity_gets_texts_in_small_batches(spark, monkeypatch):
     assert counts["moron"] == counts["moro*"] == 3_000 and counts["word17"] == 1
     monkeypatch.setattr(toxicity, "UNITS_TOGETHER", 50)
     assert {r["unit"]: r["n"] for r in toxicity._term_counts(docs).collect()} == counts
+
+
+def test_token_planes_hold_little_in_workers(spark, monkeypatch):
+    """Texts come in small batches and blocks a few at a time, whoever reads the result; no worker keeps an encoder."""
+    docs = spark.range(6_000).selectExpr("id as doc_id", "concat('a word ', id) as text").coalesce(1)
+    seen = spy_batches(monkeypatch, spark, lambda schema: 1_000 if "planes" in schema else 4)
+    monkeypatch.setattr(token_planes.write_token_planes, "__defaults__", ("byte", 500, 1 << 26))
+    got = {r["doc_id"]: r for r in token_planes.encode_documents(docs).collect()}
+    assert set(seen) == {4, 1_000} and len(got) == 6_000
+    assert all(got[i]["start"] + got[i]["n_tokens"] == got[i + 1]["start"] for i in range(5_999))
+    monkeypatch.undo()
+
+    def encoders(batches):
+        for batch in batches:
+            held = sum(type(x).__name__ == "Encoder" for x in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([held] * batch.num_rows, pa.int64())], names=["held"])
+
+    assert spark.range(0, 64, 1, 16).mapInArrow(encoders, "held long").agg(F.sum("held")).first()[0] == 0
+
+
+def test_words_are_cut_beside_marks_as_the_library_cuts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), token_planes.Encoder(path)
+    rng = random.Random(7)
+    parts = [*".,;:!?#$%&*()\"-'_/=<>|", *"aBsStTdLl", " ", "\n", "0", "7", "É", "é", "Σ", "̸", "İ", "漢", "'re", "Word"]
+    for k in range(60):
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(50)] + [None, ""]
+        if k % 10 == 0:
+            texts += ["a.<|endoftext|>.B", "<|ENDOFTEXT|>#a", "x<|StartOfText|>"]
+        given = pa.array(["skipped. A", *texts], pa.large_string() if k % 3 == 0 else pa.string())[1:]
+        for text, ids in zip(texts, encoder.many(given)):
+            assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)
+    cut = token_planes.apart(pa.array(["One,two ONE", "", "#(one) won't"])).to_pylist()
+    assert " ".join(cut).split() == ["one", ",", "two", "one", "#(", "one", ")", "won't"]
