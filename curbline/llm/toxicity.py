@@ -233,6 +233,12 @@ def _term_counts(rows: DataFrame, only: frozenset[str] | None = None) -> DataFra
     return rows.select("text").mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
+def _collected(counts: DataFrame) -> dict[str, int]:
+    """Units and numbers in the driver, by columns: a Row for each would take several times as much."""
+    table = counts.select("unit", "n").toArrow()
+    return dict(zip(table["unit"].to_pylist(), table["n"].to_pylist()))
+
+
 def learn_terms(rows: DataFrame) -> list[Term]:
     """Words, and beginnings of words, that toxic rows of (text, toxic) hold far more often than others.
 
@@ -243,8 +249,8 @@ def learn_terms(rows: DataFrame) -> list[Term]:
     n_bad, n_good = sizes.get(1, 0), sizes.get(0, 0)
     least = max(3 if n_bad < 200 else 5, math.ceil(n_bad * LEAST_SHARE))
     common = _term_counts(rows.where("toxic = 1")).where(F.col("n") >= least)
-    bad = {r["unit"]: r["n"] for r in common.collect()}
-    good = {r["unit"]: r["n"] for r in _term_counts(rows.where("toxic = 0"), frozenset(bad)).collect()} if bad else {}
+    bad = _collected(common)
+    good = _collected(_term_counts(rows.where("toxic = 0"), frozenset(bad))) if bad else {}
     for w in SEED:
         bad[w] = bad.get(w, 0) + SEED_EVIDENCE
     scored = []
