@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import mixed, one_per_id, word_hashes
-from curbline.session import materialise
+from curbline.llm.common import given_back, mixed, one_per_id, word_hashes
+from curbline.session import arrow_batches, materialise
 
 # Fixed sizes of what is broadcast: columns of the term matrix, and the passages that one block of queries holds.
 COLUMNS = 1 << 13
@@ -20,6 +20,13 @@ RANK, EXTRA, ROUNDS = 192, 16, 2
 BLOCK_ITEMS = 2_000
 # Rows that the documents' rows are added up in, each with a sign, for the fit of the latent space.
 FOLDED_ROWS = 256
+# Rows of the matrix that are a task's, as every task hands on a product as large as the basis; rows that it multiplies
+# together, and columns of the product that it hands on at once.
+ROWS_A_TASK = 256
+ROWS_TOGETHER = 32
+STRETCH = 512
+# Rows and bytes that a task gets at once.
+BATCH = (1_000, "4m")
 
 WINDOW, STRIDE = 64, 32
 # Latent cosine from which a window and a passage are compared word by word.
@@ -63,6 +70,7 @@ def vocabulary_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, at, times): how often each document's whole text has the words of a vocabulary, by their index."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
@@ -103,6 +111,7 @@ def folded_rows(counts: DataFrame, vocabulary: Vocabulary, total: int) -> DataFr
     shared = counts.sparkSession.sparkContext.broadcast((vocabulary.columns, vocabulary.weights))
     scale = np.sqrt(FOLDED_ROWS / max(1, total))
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns, weights = shared.value
         out = np.zeros(FOLDED_ROWS * COLUMNS)
@@ -137,34 +146,43 @@ def randomised_svd(rows: DataFrame, columns: int, rank: int, extra: int, rounds:
     of columns, and only columns x (rank + extra) numbers reach the driver, whatever the row count.
     """
     width = rank + extra
-    stretch = 512
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((columns, width)))[0]
 
     def product(basis: np.ndarray) -> np.ndarray:
         shared = rows.sparkSession.sparkContext.broadcast(basis)
 
+        @given_back
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = np.zeros((columns, width))
             for batch in batches:
-                for at, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    at, x = np.array(at, dtype=np.int64), np.array(x)
-                    out[at] += np.outer(x, x @ shared.value[at])
-            parts = [k for k in range(0, columns, stretch) if out[k: k + stretch].any()]
-            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([out[k: k + stretch].tobytes() for k in parts], pa.binary())],
-                                             names=["part", "sums"])
+                for begin in range(0, batch.num_rows, ROWS_TOGETHER):
+                    piece = batch.slice(begin, ROWS_TOGETHER)
+                    at, x = (piece.column(k).flatten().to_numpy(zero_copy_only=False) for k in (0, 1))
+                    dense = np.zeros((piece.num_rows, columns))
+                    dense[np.repeat(np.arange(piece.num_rows), piece.column(0).value_lengths()), at] = x
+                    near = dense @ shared.value
+                    for k in range(0, columns, STRETCH):
+                        out[k: k + STRETCH] += dense[:, k: k + STRETCH].T @ near
+            for k in range(0, columns, STRETCH):
+                if out[k: k + STRETCH].any():
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([out[k: k + STRETCH].tobytes()], pa.binary())],
+                                                     names=["part", "sums"])
 
         def add(group: pd.DataFrame) -> pd.DataFrame:
             total = sum(np.frombuffer(b) for b in group["sums"])
             return pd.DataFrame({"part": [group["part"].iloc[0]], "sums": [total.tobytes()]})
 
         out = np.zeros((columns, width))
-        for r in rows.select("at", "x").mapInArrow(run, "part int, sums binary").groupBy("part").applyInPandas(add, "part int, sums binary").collect():
-            piece = np.frombuffer(r["sums"]).reshape(-1, width)
-            out[r["part"]: r["part"] + len(piece)] = piece
+        found = rows.select("at", "x").mapInArrow(run, "part int, sums binary").groupBy("part").applyInPandas(add, "part int, sums binary").toArrow()
+        for part, sums in zip(found["part"], found["sums"]):
+            piece = np.frombuffer(sums.as_buffer()).reshape(-1, width)
+            out[part.as_py(): part.as_py() + len(piece)] = piece
+        shared.destroy()
         return out
 
     for _ in range(rounds):
-        basis = np.linalg.qr(product(basis))[0]
+        basis = product(basis)
+        basis = np.linalg.qr(basis)[0]
     final = product(basis)
     values, vectors = np.linalg.eigh(basis.T @ final)
     return basis @ vectors[:, np.argsort(-values)[:rank]]
@@ -311,13 +329,17 @@ def _search(docs: DataFrame, block: list[tuple[int, list[bytes], list[bytes]]],
     counts = materialise(vocabulary_counts(docs, vocabulary), "vocabulary-counts")
     frequency, total = document_frequencies(counts, len(vocabulary.hashes))
     vocabulary.weigh(frequency, total)
-    own = spark.createDataFrame([(c.tolist(), x.tolist()) for c, x in map(vocabulary.row, passages)], "at array<int>, x array<double>")
+    own = list(map(vocabulary.row, passages))
+    # By Arrow, as rows that Spark gets as Python objects leave a second set of workers in every executor.
+    own = spark.createDataFrame(pa.table({"at": pa.array([c for c, _ in own], pa.list_(pa.int32())), "x": pa.array([x for _, x in own], pa.list_(pa.float64()))}))
     rows = materialise(own.unionByName(folded_rows(counts, vocabulary, total)), "svd-rows")
+    rows = rows.coalesce(-(-(FOLDED_ROWS + len(passages)) // ROWS_A_TASK))
     basis = randomised_svd(rows, COLUMNS, min(RANK, COLUMNS - EXTRA), EXTRA, ROUNDS, 5).astype(np.float32)
     shared = spark.sparkContext.broadcast((
         vocabulary, LatentSpace(passages, vocabulary, basis), RareWords(passages, vocabulary, paraphrased),
         [(i, len(p), _masks(p), len(a), _masks(a)) for i, p, a in block]))
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, latent, rare, known = shared.value
         for batch in batches:
@@ -352,7 +374,9 @@ def _search(docs: DataFrame, block: list[tuple[int, list[bytes], list[bytes]]],
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
                                              names=["doc_id", "item_id", "overlap", "answer", "cosine", "place", "way"])
 
-    return docs.mapInArrow(run, HITS)
+    hits = materialise(docs.mapInArrow(run, HITS), "benchmark-hits")
+    shared.destroy()
+    return hits
 
 
 HITS = "doc_id long, item_id long, overlap double, answer double, cosine double, place long, way string"
@@ -382,8 +406,13 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, min_cosine: float = MI
 
     The benchmark is the stated query set: its passages go through in blocks of about ``BLOCK_ITEMS``, however long
     the texts they come from, each against all documents; one block's vectors and words are broadcast at a time.
+    Tasks get rows in small batches; so that this holds for the hits too, they are written once.
     """
-    docs = one_per_id(docs, "doc_id", "text")
+    with arrow_batches(docs.sparkSession, *BATCH):
+        return _found(one_per_id(docs, "doc_id", "text"), benchmark, min_cosine, copied, paraphrased, answered)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, min_cosine: float, copied: float, paraphrased: float, answered: float) -> DataFrame:
     passages = materialise(_cut(benchmark), "passages")
     blocks = -(-passages.count() // BLOCK_ITEMS)
     hits = None

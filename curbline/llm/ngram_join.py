@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import bounded, distinct, mixed, one_per_id, window_hashes, word_hashes, words_of
+from curbline.llm.common import bounded, distinct, given_back, mixed, one_per_id, window_hashes, word_hashes, words_of
 from curbline.llm.components import connected_components
 from curbline.session import arrow_batches, materialise
 
@@ -120,6 +120,7 @@ def _survey(docs: DataFrame, size: int, at_least: Ratio) -> DataFrame:
             [pa.array(x, t) for x, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types],
             names=["kind", "doc_id", "n", "h1", "h2", "sketch", "wide"])
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, sets, seen, held = [], [], set(), 0
         for batch in batches:
@@ -166,6 +167,7 @@ def _keys(docs: DataFrame, size: int, at_least: Ratio, small: int, hashes: np.nd
         return pa.RecordBatch.from_arrays([pa.array(arrays[0].view(np.int64)), pa.array(arrays[1]), pa.array(arrays[2])],
                                           names=["key", "doc", "packed"])
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         keys, docs_of, packed, held = [], [], [], 0
@@ -325,6 +327,7 @@ def _short_sets(docs: DataFrame, size: int, at_least: Ratio, names: str) -> Data
     """The shortened set of every row of (doc_id, text, other): (doc_id, other, s) under the given names."""
     first, second = names.split()
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             others = batch.column(2).to_pylist()

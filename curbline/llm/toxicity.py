@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import bounded, one_per_id
+from curbline.llm.common import bounded, given_back, one_per_id
 from curbline.session import arrow_batches, materialise
 
 # Terms that count as abusive before anything is learned. Prior evidence, not the whole lexicon.
@@ -219,6 +219,7 @@ def _term_counts(rows: DataFrame, only: frozenset[str] | None = None) -> DataFra
         return pa.RecordBatch.from_arrays([pa.array(list(count.keys()), pa.string()), pa.array(list(count.values()), pa.int64())],
                                           names=["unit", "n"])
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter = Counter()
         for batch in batches:
@@ -300,6 +301,7 @@ def _apply(rows: DataFrame, schema: str, terms: list[Term], out_of) -> DataFrame
     with its task, so a worker that goes on to other stages doesn't keep what it remembers."""
     names = [c.split()[0] for c in schema.split(", ")]
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = Scanner(terms)
         for batch in batches:

@@ -3,13 +3,15 @@
 import gc
 import random
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from curbline.llm import token_planes, toxicity
+from curbline.llm import common, decontamination, token_planes, toxicity
 
 
 def spy_batches(monkeypatch, spark, most_of):
@@ -64,6 +66,48 @@ def test_token_planes_hold_little_in_workers(spark, monkeypatch):
     assert spark.range(0, 64, 1, 16).mapInArrow(encoders, "held long").agg(F.sum("held")).first()[0] == 0
 
 
+def test_decontamination_gets_rows_in_small_batches(spark, monkeypatch):
+    """In the fit and in the search, whoever reads the hits; no rows go through Python objects, which would leave workers
+    of another kind in every executor; and few tasks hand on a product as large as the basis."""
+    item = " ".join(f"b{k}" for k in range(40))
+    docs = spark.range(6_000).selectExpr("id as doc_id", f"concat('noise ', id, if(id % 1000 = 7, ' {item}', ' b1')) as text").coalesce(1)
+    benchmark = spark.range(1).selectExpr("id as item_id", f"'{item}' as text")
+    kind, fitted = type(spark.sparkContext), []
+
+    def refused(*args, **named):
+        raise AssertionError("rows as Python objects")
+
+    def fit(rows, *args, given=decontamination.randomised_svd):
+        fitted.append(rows.rdd.getNumPartitions())
+        return given(rows, *args)
+
+    monkeypatch.setattr(kind, "parallelize", refused)
+    monkeypatch.setattr(decontamination, "randomised_svd", fit)
+    seen = spy_batches(monkeypatch, spark, lambda schema: 1_000)
+    found = decontamination.find_benchmark(docs, benchmark).collect()
+    assert sorted(r["doc_id"] for r in found) == [k * 1_000 + 7 for k in range(6)] and all(r["overlap"] == 1.0 for r in found)
+    assert len(seen) > 6 and fitted == [2]
+
+
+def test_randomised_svd_finds_the_leading_space(spark):
+    rng = np.random.default_rng(3)
+    dense = rng.standard_normal((70, 4)) @ rng.standard_normal((4, 1_100)) * (rng.random((70, 1_100)) < 0.9)
+    dense[5] = 0
+    rows = spark.createDataFrame([(np.flatnonzero(r).tolist(), r[np.flatnonzero(r)].tolist()) for r in dense], "at array<int>, x array<double>")
+    basis = decontamination.randomised_svd(rows.coalesce(2), 1_100, 4, 8, 4, 5)
+    want = np.linalg.svd(dense, full_matrices=False)[2][:4]
+    assert np.allclose(basis.T @ basis, np.eye(4)) and np.linalg.svd(want @ basis)[1].min() > 0.999
+
+
+def test_workers_give_memory_back_after_their_last_batch(monkeypatch):
+    trims = []
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda name: SimpleNamespace(malloc_trim=trims.append))
+    batches = [pa.RecordBatch.from_arrays([pa.array([k])], names=["k"]) for k in range(3)]
+    run = common.given_back(lambda given: (b for b in given))(iter(batches))
+    assert next(run) is batches[0] and trims == []
+    assert list(run) == batches[1:] and trims == [0]
+
+
 def test_words_are_cut_beside_marks_as_the_library_cuts():
     path = public_tokenizers.path("word_bpe_49k.json")
     library, encoder = Tokenizer.from_file(path), token_planes.Encoder(path)
