@@ -17,7 +17,8 @@ from curbline.config import DEFAULT, Settings
 from curbline.operators import validate
 from curbline.operators.classify import classify
 from curbline.operators.latest import latest_per_key
-from curbline.session import spread
+from curbline.session import scratch, spread, through_files
+from curbline.sinks import paths
 from curbline.sinks.requests import KEY, RequestTable, dead_letters
 
 Labeller = Callable[[DataFrame], DataFrame]
@@ -175,9 +176,10 @@ def start_enrichment(
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         merge_id = f"{name}-{query_id}-{batch_id:012d}"
         table = RequestTable(spark, requests_path)
-        parsed = validate.parse_messages(spread(batch), settings).persist(StorageLevel.MEMORY_AND_DISK)
-        rows = label_parsed(parsed, label).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with scratch(spark, "batch") as folder:
+            parsed = through_files(validate.parse_messages(spread(batch), settings), f"{folder}/parsed")
+            rows = through_files(label_parsed(parsed, label), f"{folder}/rows")
+            paths.remove(spark, f"{folder}/parsed")
             failed = F.col("error_type").isNotNull()
             counts = rows.agg(F.count_if(~failed).alias("good"), F.count_if(failed).alias("bad")).head()
             good, bad = counts["good"], counts["bad"]
@@ -196,9 +198,6 @@ def start_enrichment(
                 table.compact()
             if on_batch is not None:
                 on_batch({"batch_id": batch_id, "processed": good, "failed": bad})
-        finally:
-            rows.unpersist()
-            parsed.unpersist()
 
     writer = (
         messages.writeStream.queryName(name)

@@ -1,10 +1,17 @@
 """What streams cost as their input or their state grows."""
 
+from pathlib import Path
+
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
+from curbline import schemas
 from curbline.bindings import streams
+from curbline.session import scratch, shared_dir, through_files
 from curbline.streaming import monitors, pipeline
+from test_streaming import dead, labels, put, run, stored
+from test_validate import body
 
 
 def test_a_step_of_several_files_is_one_batch(spark, tmp_path, monkeypatch):
@@ -90,3 +97,47 @@ def test_isolating_a_row_reads_the_rest_a_few_times(spark):
     assert read.value <= 10 * n
     assert [r["service_request_id"] for r in refused.collect()] == ["r77"] and len(written) == n - 1
     assert refused.select(F.first("error_message")).head()[0] == "warehouse_write_error: refused"
+
+
+def kept(spark):
+    """Persisted blocks, and folders for the time of a batch or an isolation."""
+    blocks = {b.id() for b in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+    return blocks, {p.name for p in Path(shared_dir(spark)).glob("*") if p.name.startswith(("batch-", "isolate-"))}
+
+
+def test_a_batch_is_kept_in_files_until_its_end(spark, tmp_path):
+    """A persisted partition takes memory that grows with the batch, also if it ends on disk."""
+    before, during = kept(spark), []
+
+    def write(table, some, name):
+        during.append(kept(spark))
+        table.upsert(some, name, ["offset", "partition"])
+
+    put(spark, tmp_path / "in", body(service_request_id="A"), b"{cut", body(service_request_id="X"), body(service_request_id="B"))
+    run(spark, tmp_path, labels(spark, A="High", B="Low"), write=write)
+    assert stored(spark, tmp_path) == {"A": "High", "B": "Low"} and set(dead(spark, tmp_path)) == {1, 2}
+    assert during[0][0] <= before[0] and len(during[0][1] - before[1]) == 1
+    assert kept(spark)[1] == before[1]
+
+
+def test_a_batch_that_fails_leaves_no_files(spark, tmp_path):
+    before = kept(spark)
+
+    def write(table, some, name):
+        raise OSError("refused")
+
+    put(spark, tmp_path / "in", body(service_request_id="A"), body(service_request_id="B"))
+    with pytest.raises(Exception, match="refused"):
+        run(spark, tmp_path, labels(spark, A="High", B="Low"), write=write)
+    assert kept(spark)[1] == before[1]
+
+
+def test_rows_through_files_stay_as_they_are(spark):
+    rows = spark.sql("select * from values (1, null, timestamp '1800-01-01 00:00:00', X'ff00', double('nan')),"
+                     " (null, null, null, null, -0.0d) as t(a, b, c, d, e)").withColumn("headers", F.lit(None).cast(
+                         schemas.MESSAGE["headers"].dataType))
+    with scratch(spark, "batch") as folder:
+        got = through_files(rows, f"{folder}/rows")
+        assert got.columns == rows.columns and [f.dataType for f in got.schema] == [f.dataType for f in rows.schema]
+        assert sorted(map(str, got.collect())) == sorted(map(str, rows.collect()))
+        assert through_files(rows.limit(0), f"{folder}/none").count() == 0
