@@ -6,7 +6,6 @@ from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -75,20 +74,27 @@ def write_or_isolate(write: Writer, table: RequestTable, rows: DataFrame, merge_
     request refused; after ``most`` writes the batch fails. Each halving reads only the parts that failed before it,
     so together they read about as many rows again as the batch has, for each request refused.
 
+    What is left is copied to files whenever some part went through, and not while all of them fail.
+
     If nothing at all can be written although there are several requests, the fault is the table's and not theirs:
     the error is raised, and the stream stops without having moved past the batch. That shows after eight parts.
     """
+    with scratch(rows.sparkSession, "isolate") as folder:
+        return _isolate(write, table, rows, merge_id, most, folder)
+
+
+def _isolate(write: Writer, table: RequestTable, rows: DataFrame, merge_id: str, most: int, folder: str) -> DataFrame | None:
     parts, alone, refused, written, tries = [(1, 0)], [], [], False, 0
     hashed = F.xxhash64(KEY)
-    left = rows
+    left, copy = rows, None
 
-    def narrowed(failing: list) -> DataFrame:
+    def narrowed(failing: list, path: str) -> DataFrame:
         """The rows of parts that failed and of requests that are alone, kept apart."""
         wanted: dict[int, list[int]] = {}
         for modulus, rest, _ in failing + alone:
             wanted.setdefault(modulus, []).append(rest)
         some = [F.pmod(hashed, F.lit(m)).isin(rests) for m, rests in wanted.items()]
-        return left.filter(reduce(or_, some)).persist(StorageLevel.MEMORY_AND_DISK)
+        return through_files(left.filter(reduce(or_, some)), path)
 
     def attempt(some: DataFrame, name: str) -> Exception | None:
         nonlocal written, tries
@@ -114,12 +120,14 @@ def write_or_isolate(write: Writer, table: RequestTable, rows: DataFrame, merge_
             raise failing[0][2]
         # Requests in each half of the parts that failed: two rows for each.
         modulus = 2 * failing[0][0]
-        before, left = left, narrowed(failing) if failing[0][0] > 1 else left
+        if len(failing) < len(parts):
+            before, copy = copy, f"{folder}/{modulus}"
+            left = narrowed(failing, copy)
+            if before is not None:
+                paths.remove(rows.sparkSession, before)
         sizes = {r["part"]: r["requests"] for r in left.groupBy(F.pmod(hashed, F.lit(modulus)).alias("part")).agg(
             F.count_distinct(KEY).alias("requests")).filter(
                 F.col("part").isin([h for _, rest, _ in failing for h in (rest, rest + modulus // 2)])).collect()}
-        if before is not rows and before is not left:
-            before.unpersist()
         parts = []
         for half, rest, exc in failing:
             inside = [(modulus, h) for h in (rest, rest + half) if h in sizes]
@@ -141,8 +149,6 @@ def write_or_isolate(write: Writer, table: RequestTable, rows: DataFrame, merge_
             if some.isEmpty():
                 break
             exc = attempt(some, f"{merge_id}-{modulus}-{rest}-{newest['offset']}")
-    if left is not rows:
-        left.unpersist()
     reasons = rows.sparkSession.createDataFrame(
         refused, "topic string, partition int, offset long, error_type string, error_message string")
     return rows.drop("error_type", "error_message").join(F.broadcast(reasons), ["topic", "partition", "offset"])

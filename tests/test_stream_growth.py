@@ -132,6 +132,44 @@ def test_a_batch_that_fails_leaves_no_files(spark, tmp_path):
     assert kept(spark)[1] == before[1]
 
 
+def parts_of(spark, n):
+    return spark.range(n).selectExpr("concat('r', id) as service_request_id", "'t' as topic", "0 as partition", "id as offset",
+                                     "cast(null as string) as error_type", "cast(null as string) as error_message")
+
+
+def test_isolating_keeps_what_is_left_in_files(spark):
+    before, during, written = kept(spark), [], []
+
+    def write(table, some, name):
+        new = kept(spark)
+        folders = [Path(shared_dir(spark)) / f for f in new[1] - before[1]]
+        during.append((new[0] - before[0], [p.name for f in folders for p in f.glob("*")]))
+        ids = {r[0] for r in some.select("service_request_id").collect()}
+        if ids & {"r7", "r30"}:
+            raise ValueError("refused")
+        written.extend(ids)
+
+    refused = pipeline.write_or_isolate(write, None, parts_of(spark, 64), "m")
+    assert sorted(r["offset"] for r in refused.collect()) == [7, 30]
+    assert sorted(written) == sorted(f"r{k}" for k in range(64) if k not in (7, 30))
+    assert not any(blocks for blocks, _ in during) and max(len(copies) for _, copies in during) == 1
+    assert kept(spark)[1] == before[1]
+
+
+def test_a_table_that_refuses_everything_has_no_copies_made(spark):
+    before, during = kept(spark), []
+
+    def write(table, some, name):
+        new = kept(spark)
+        during.append((new[0] - before[0], [p.name for f in new[1] - before[1] for p in (Path(shared_dir(spark)) / f).glob("*")]))
+        raise ValueError("refused")
+
+    with pytest.raises(ValueError, match="refused"):
+        pipeline.write_or_isolate(write, None, parts_of(spark, 64), "m")
+    assert len(during) == 15 and not any(blocks or copies for blocks, copies in during)
+    assert kept(spark)[1] == before[1]
+
+
 def test_rows_through_files_stay_as_they_are(spark):
     rows = spark.sql("select * from values (1, null, timestamp '1800-01-01 00:00:00', X'ff00', double('nan')),"
                      " (null, null, null, null, -0.0d) as t(a, b, c, d, e)").withColumn("headers", F.lit(None).cast(
